@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stayspark.plans import booking_flow, relational
+from stayspark.plans import booking_flow, messaging, relational
 
-FAMILIES = [relational.REG, booking_flow.REG]
+FAMILIES = [relational.REG, booking_flow.REG, messaging.REG]
 
 QUERIES = {name: run for reg in FAMILIES for name, run in reg.queries.items()}
 ORACLES = {name: sql for reg in FAMILIES for name, sql in reg.oracles.items()}

@@ -73,7 +73,10 @@ VIEWS: dict[str, str] = {
           case event_id % 4 when 0 then '  ' when 1 then 'lab text' when 2 then props else
             '{"kind":"' || case when event_id % 8 = 3 then 'BOOKING_CONFIRMED'
                                 when event_id % 16 = 7 then 'BAD_KIND' else 'BOOKING_CANCELLED' end
-            || '","bookingId":' || event_id || ',"source":"BOOKING"}' end payload,
+            || '","bookingId":' || event_id || ',"userId":' || user_id || ',"username":"u' || user_id
+            || '","hotelId":' || (user_id % 7) || ',"hotelName":"H' || (user_id % 7) || '","roomType":"'
+            || case when event_id % 16 = 11 then 'PENTHOUSE' else 'DOUBLE' end
+            || '","checkIn":"2026-01-01","checkOut":"2026-01-03","source":"BOOKING"}' end payload,
           ts created_at, cast(event_id % 600 as int) delay_s
         from events""",
     "kv_log": """

@@ -229,7 +229,7 @@ def _(v: Views):
     where status = 'CONFIRMED' and check_in >= date '2026-03-01' and check_in <= date '2026-04-15'
       and hotel_id in (select id from hotels where manager_id is not null)""")
 def _(v: Views):
-    managed = v.table("supplier").filter("s_suppkey % 3 = 0").select(F.col("s_suppkey").alias("id"))
+    managed = v.hotels().filter("manager_id is not null").select("id")
     return filters.bookings_matching(
         v.bookings(), status="CONFIRMED", hotel_ids=managed,
         check_in_from="2026-03-01", check_in_to="2026-04-15",

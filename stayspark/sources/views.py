@@ -164,7 +164,12 @@ class Views:
             .when(e % 16 == 7, "BAD_KIND")
             .otherwise("BOOKING_CANCELLED")
         )
-        body = F.format_string('{"kind":"%s","bookingId":%d,"source":"BOOKING"}', kind, e)
+        room = F.when(e % 16 == 11, "PENTHOUSE").otherwise("DOUBLE")
+        body = F.format_string(
+            '{"kind":"%s","bookingId":%d,"userId":%d,"username":"u%d","hotelId":%d,"hotelName":"H%d",'
+            '"roomType":"%s","checkIn":"2026-01-01","checkOut":"2026-01-03","source":"BOOKING"}',
+            kind, e, F.col("user_id"), F.col("user_id"), F.col("user_id") % 7, F.col("user_id") % 7, room,
+        )
         return self.table("events").select(
             F.concat(F.lit("j"), e).alias("job_id"),
             F.when(F.col("event_type") == "purchase", "booking.confirm")
