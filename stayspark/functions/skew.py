@@ -127,7 +127,8 @@ def segmented_lag(
     value: str,
     out: str,
 ) -> DataFrame:
-    """Previous non-null ``value`` along ``order`` inside each key, without sorting a key in one task."""
+    """Previous ``value`` along ``order`` (plain ascending columns) inside each key, without sorting a
+    key in one task. ``segment`` must not decrease along ``order``."""
     segmented = df.withColumn("_seg", segment)
     by = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     lasts = segmented.groupBy(*keys, "_seg").agg(F.max_by(F.col(value), by).alias("_last"))

@@ -41,7 +41,7 @@ class Registry:
     def __init__(self, extra_views: dict[str, str] | None = None):
         self.queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
         self.oracles: dict[str, str] = {}
-        self._extra = extra_views or {}
+        self.views = extra_views or {}
 
     def query(self, name: str, sql: str | None = None):
         def register(build: Build) -> Build:
@@ -52,7 +52,7 @@ class Registry:
             run.__doc__ = build.__doc__
             self.queries[name] = run
             if sql is not None:
-                self.oracles[name] = with_views(sql, self._extra)
+                self.oracles[name] = with_views(sql, self.views)
             return build
 
         return register
