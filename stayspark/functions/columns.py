@@ -12,6 +12,15 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+def once(c: Column) -> Column:
+    """Evaluate a costly expression once per row, however often its fields are read afterwards.
+
+    Adjacent projections are merged, which would repeat a JSON parse per field; a one-element
+    generator keeps them apart.
+    """
+    return F.explode(F.array(c))
+
+
 def has_text(c: Column) -> Column:
     """True for a non-null, non-blank string; never null."""
     return F.coalesce(F.trim(c) != "", F.lit(False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayspark.functions.columns import blank_to_null
+from stayspark.functions.columns import blank_to_null, once
 from stayspark.functions.payloads import is_valid_event, missing_fields, parse_error, parse_hotel_event
 from stayspark.functions.skew import broadcast_if_small, first_per_key, latest_per_key
 
@@ -22,7 +22,7 @@ def parse_log(log: DataFrame) -> DataFrame:
 
     ``log``: topic, message_key, partition_id, kafka_offset, payload, occurred_at.
     """
-    parsed = log.withColumn("event", parse_hotel_event(F.col("payload")))
+    parsed = log.withColumn("event", once(parse_hotel_event(F.col("payload"))))
     error = F.when(~F.coalesce(is_valid_event(F.col("event")), F.lit(False)), parse_error(F.col("event")))
     return parsed.withColumn("error", error)
 
@@ -112,7 +112,7 @@ def retry(letters: DataFrame, requests: DataFrame, as_of: str) -> DataFrame:
     joined = letters.join(overrides, "letter_id", "left").withColumn(
         "payload", F.coalesce("_override", "payload")
     )
-    parsed = joined.withColumn("_e", parse_hotel_event(F.col("payload")))
+    parsed = joined.withColumn("_e", once(parse_hotel_event(F.col("payload"))))
     asked = F.col("_asked").isNotNull()
     ok = F.coalesce(is_valid_event(F.col("_e")), F.lit(False))
 

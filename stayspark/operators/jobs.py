@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stayspark.functions.columns import blank_to_null, has_text
+from stayspark.functions.columns import blank_to_null, has_text, once
 from stayspark.schemas import JOB_SOURCES, NOTIFICATION_TYPES, ROOM_TYPES
 
 # Fixed values of the model: queue bindings, default body, snippet and error lengths.
@@ -96,7 +96,7 @@ def classify(jobs: DataFrame) -> DataFrame:
         "payload", _PAYLOAD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
     looks_json = F.coalesce(F.trim("payload").startswith("{"), F.lit(False))
-    with_json = jobs.withColumn("_p", F.when(looks_json, parsed))
+    with_json = jobs.withColumn("_p", once(F.when(looks_json, parsed)))
     p = F.col("_p")
     readable = p.isNotNull() & p["_corrupt"].isNull()
     is_note = readable & p["kind"].isNotNull() & p["bookingId"].isNotNull()

@@ -105,28 +105,40 @@ def build_index(docs: DataFrame) -> Index:
     lengths = tf.groupBy("field", "doc_id").agg(F.sum("tf").alias("len"))
     postings = tf.join(lengths, ["field", "doc_id"])
     dictionary = tf.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    stats = lengths.groupBy("field").agg(
+    return Index(postings, dictionary, _stats(lengths))
+
+
+def _stats(lengths: DataFrame) -> DataFrame:
+    return lengths.groupBy("field").agg(
         F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("avg_len")
     )
-    return Index(postings, dictionary, stats)
 
 
-def write_index(index: Index, root: str) -> None:
-    """Store the index for many query batches: one folder per field, terms clustered inside it."""
-    (
-        index.postings.repartitionByRange("field", "term")
-        .sortWithinPartitions("field", "term")
-        .write.mode("overwrite")
-        .partitionBy("field")
-        .parquet(f"{root}/postings")
-    )
-    index.dictionary.write.mode("overwrite").partitionBy("field").parquet(f"{root}/dictionary")
-    index.stats.coalesce(1).write.mode("overwrite").parquet(f"{root}/stats")
+def store_index(docs: DataFrame, root: str) -> Index:
+    """Analyse the documents once, write the index, and return it as read from its files.
+
+    One folder per field: a query batch reads the folders its boosts name and no texts at all.
+    """
+    built = build_index(docs)
+    built.postings.write.mode("overwrite").partitionBy("field").parquet(f"{root}/postings")
+    postings = _read_postings(docs.sparkSession, root)
+    postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")).write.mode(
+        "overwrite"
+    ).partitionBy("field").parquet(f"{root}/dictionary")
+    _stats(postings.select("field", "doc_id", "len").distinct()).coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{root}/stats")
+    return read_index(docs.sparkSession, root)
+
+
+def _read_postings(spark, root: str) -> DataFrame:
+    schema = "term string, doc_id long, tf long, len long, field string"
+    return spark.read.schema(schema).parquet(f"{root}/postings")
 
 
 def read_index(spark, root: str) -> Index:
     return Index(
-        spark.read.schema("term string, doc_id long, tf long, len long, field string").parquet(f"{root}/postings"),
+        _read_postings(spark, root),
         spark.read.schema("term string, df long, field string").parquet(f"{root}/dictionary"),
         spark.read.schema("field string, n_docs long, avg_len double").parquet(f"{root}/stats"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayspark.functions.columns import csv_items
+from stayspark.functions.columns import csv_items, once
 from stayspark.operators import aggs, filters, joins, ranking
 from stayspark.plans.registry import Registry, sql_date, sql_ts
 from stayspark.sources import generate, metrics, partitioned, topics
@@ -392,7 +392,7 @@ def _(v: Views):
 def _(v: Views):
     from stayspark.functions.payloads import is_valid_event, parse_hotel_event
 
-    e = v.hotel_event_log().select(parse_hotel_event(F.col("payload")).alias("e")).filter(
+    e = v.hotel_event_log().select(once(parse_hotel_event(F.col("payload"))).alias("e")).filter(
         is_valid_event(F.col("e"))
     )
     events = aggs.counts(
@@ -502,7 +502,7 @@ def _(v: Views):
     from stayspark.functions.payloads import is_valid_event, parse_hotel_event
     from stayspark.functions.skew import latest_per_key
 
-    log = v.hotel_event_log().withColumn("e", parse_hotel_event(F.col("payload"))).filter(
+    log = v.hotel_event_log().withColumn("e", once(parse_hotel_event(F.col("payload")))).filter(
         is_valid_event(F.col("e"))
     ).select(
         F.col("e.hotelId").cast("string").alias("hotel_id"),

@@ -10,8 +10,8 @@ from stayspark.schemas import STAR_TABLES
 from stayspark.sources.topics import append_to_folder, file_stream
 from stayspark.sources.views import Views
 from stayspark.streaming import hotel_events
-from stayspark.streaming.delay_queue import release_stream
-from stayspark.streaming.runtime import drain, read_batches, shared_folder, write_batch
+from stayspark.streaming.delay_queue import released, run_release
+from stayspark.session import shared_folder
 from stayspark.streaming.sli_stream import latest_slis, run_slis, windowed_slis
 
 REG = Registry({k: MESSAGING.views[k] for k in ("parsed_log", "first_deliveries")})
@@ -60,21 +60,14 @@ def _(v: Views):
     )
 
 
-@query("job3_stream_release", """
-    select job_id, routing_key, epoch_us(created_at + to_seconds(delay_s)) // 1000 execute_ms from jobs
-    where epoch_us(created_at + to_seconds(delay_s)) // 1000 <= (select epoch_us(max(created_at)) // 1000 from jobs)""")
+@query("job3_stream_release", f"""
+    select job_id, routing_key, {sql_ts("created_at + to_seconds(delay_s)")} execute_at from jobs
+    where created_at + to_seconds(delay_s) <= (select max(created_at) from jobs)""")
 def _(v: Views):
-    """Jobs whose timer was due when the stream's clock stopped."""
+    """Jobs that were due when the stream's clock stopped."""
     base = shared_folder(v.spark, "delays")
-    released = release_stream(StreamingViews(v.spark, v.folder).jobs())
-    drain(
-        released.writeStream.outputMode("append").foreachBatch(
-            lambda df, b: write_batch(df, f"{base}/out", b)
-        ),
-        f"{base}/ckpt",
-    )
-    schema = "job_id string, routing_key string, payload string, execute_ms bigint"
-    return read_batches(v.spark, f"{base}/out", schema).select("job_id", "routing_key", "execute_ms")
+    run_release(StreamingViews(v.spark, v.folder).jobs(), base, f"{base}/ckpt")
+    return released(v.spark, base).select("job_id", "routing_key", "execute_at")
 
 
 @query("sli9_stream_slis", f"""

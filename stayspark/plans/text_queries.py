@@ -8,6 +8,7 @@ from stayspark.functions.text import STOP_WORDS
 from stayspark.operators import aggs, joins, search
 from stayspark.plans.registry import Registry
 from stayspark.sources.views import Views
+from stayspark.session import shared_folder
 
 SEP = r"[^\p{L}\p{M}\p{N}]+"
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -111,6 +112,12 @@ REG = Registry(
 )
 query = REG.query
 
+
+def index_of(v: Views, docs) -> search.Index:
+    """The stored index over a view of the documents."""
+    return search.store_index(docs, shared_folder(v.spark, "index"))
+
+
 _SHINGLES = """
     select key, field, n, i, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') term, len(w) - n + 1 last_i
     from (select key, field, w, n, unnest(range(1, len(w) - n + 2)) i
@@ -147,7 +154,7 @@ def _(v: Views):
     select field, n_docs, round(avg_len, 6) avg_len, n_terms, n_postings from field_stats join (
       select field, count(*) n_terms, sum(df) n_postings from term_dict group by field) t using (field)""")
 def _(v: Views):
-    index = search.build_index(v.search_docs())
+    index = index_of(v, v.search_docs())
     terms = index.dictionary.groupBy("field").agg(
         F.count(F.lit(1)).alias("n_terms"), F.sum("df").alias("n_postings")
     )
@@ -160,7 +167,7 @@ def _(v: Views):
     where "rank" <= 20""")
 def _(v: Views):
     docs = v.search_docs()
-    return search.search(search.build_index(docs), docs, v.search_queries())
+    return search.search(index_of(v, docs), docs, v.search_queries())
 
 
 @query("txt4_city_filter", """
@@ -182,7 +189,7 @@ def _(v: Views):
         ).otherwise(" "),
     )
     docs = v.search_docs()
-    return search.search(search.build_index(docs), docs, asked)
+    return search.search(index_of(v, docs), docs, asked)
 
 
 @query("txt5_price_filter", """
@@ -202,13 +209,13 @@ def _(v: Views):
         F.lit(920.0).alias("min_price"), F.when(q % 2 == 1, F.lit(980.0)).alias("max_price"),
     )
     docs = v.search_docs()
-    return search.search(search.build_index(docs), docs, asked)
+    return search.search(index_of(v, docs), docs, asked)
 
 
 @query("txt6_highlights")
 def _(v: Views):
     docs, asked = v.search_docs(), v.search_queries()
-    hits = search.search(search.build_index(docs), docs, asked, k=10)
+    hits = search.search(index_of(v, docs), docs, asked, k=10)
     return search.highlights(hits, docs, asked)
 
 
@@ -271,7 +278,7 @@ def _(v: Views):
     select query_id, field, count(*) n_docs, round(max(field_score), 6) best_score
     from scored_fields group by query_id, field""")
 def _(v: Views):
-    index = search.build_index(v.search_docs())
+    index = index_of(v, v.search_docs())
     return search.explain_fields(search.field_scores(index, v.search_queries()))
 
 
@@ -281,7 +288,7 @@ def _(v: Views):
     join search_docs d on d.id = r.doc_id where rn <= 5""")
 def _(v: Views):
     docs = v.search_docs()
-    hits = search.search(search.build_index(docs), docs, v.search_queries(), k=5)
+    hits = search.search(index_of(v, docs), docs, v.search_queries(), k=5)
     return joins.hit_details(
         hits.select("query_id", F.col("doc_id").alias("id"), "score"), docs
     )

@@ -10,6 +10,7 @@ from stayspark.operators.retrieval import hybrid_retrieval
 from stayspark.plans.registry import Registry, sql_date
 from stayspark.plans.relational import REG as RELATIONAL
 from stayspark.plans.relational import stock
+from stayspark.sources.tables import spread
 from stayspark.sources.views import Views
 
 DIM = 64
@@ -133,7 +134,7 @@ def _(v: Views):
     select id doc_id, array_to_string(list_transform(embedding, lambda x: cast(cast(x as bigint) as varchar)), '|') embedding
     from doc_vectors""")
 def _(v: Views):
-    made = vectors.embed_words(v.table("documents"), "doc_id", "text", DIM)
+    made = vectors.embed_words(spread(v.table("documents").select("doc_id", "text")), "doc_id", "text", DIM)
     return made.select("doc_id", F.col("embedding").cast("array<bigint>").alias("embedding"))
 
 

@@ -14,6 +14,16 @@ def star_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(STAR_TABLES[name]).parquet(os.path.join(folder, f"{name}.parquet"))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a plain scan that arrives in fewer splits than there are cores.
+
+    Meant for wide per-row work on small files (text analysis, JSON). A large table has more splits
+    than cores and is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def lodging_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(LODGING_TABLES[name]).parquet(os.path.join(folder, name))
 

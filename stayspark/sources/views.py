@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stayspark.functions.columns import stay_total
 from stayspark.sources.generate import opening_inventory
-from stayspark.sources.tables import star_table
+from stayspark.sources.tables import spread, star_table
 
 FIRST_NIGHT = "2026-01-01"
 LAST_NIGHT = "2026-07-02"
@@ -27,6 +27,9 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return star_table(self.spark, self.folder, name)
 
+    def spread_events(self) -> DataFrame:
+        return spread(self.table("events").select("event_id", "ts", "user_id", "event_type"))
+
     def hotel_count(self) -> Column:
         return self.table("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
 
@@ -122,7 +125,7 @@ class Views:
         """The change topic; records of error events were delivered twice."""
         e = F.col("event_id")
         hotel = F.col("user_id") % self.hotel_count()
-        base = self.table("events").select(
+        base = self.spread_events().select(
             "event_id",
             "ts",
             hotel.alias("hotel_id"),
@@ -197,7 +200,7 @@ class Views:
     def search_docs(self) -> DataFrame:
         """Catalogue documents; texts that are not English fill the second-locale fields."""
         joined = (
-            self.table("documents")
+            spread(self.table("documents"))
             .join(self.table("part"), F.col("doc_id") == F.col("p_partkey"))
             .join(self.table("nation"), F.col("doc_id") % 25 == F.col("n_nationkey"))
         )

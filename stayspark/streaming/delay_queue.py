@@ -1,17 +1,19 @@
-"""Delay queue as a stream: one event-time timer per job, released once, at its due time."""
+"""Delay queue as a stream: every job is released once, when the stream's clock reaches its due time."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from stayspark.functions.skew import first_per_key
+from stayspark.operators.events import unseen
 from stayspark.operators.jobs import schedule
-from stayspark.streaming.runtime import use_rocksdb
+from stayspark.streaming.runtime import drain, read_batches, use_rocksdb, write_batch
 
 RELEASED = T.StructType(
     [
@@ -74,3 +76,66 @@ def release_stream(jobs: DataFrame, watermark: str = "0 seconds") -> DataFrame:
         outputMode="append",
         timeMode="eventTime",
     )
+
+
+# ---- the same queue as set operations per micro-batch ------------------------------------------
+SCHEDULED = (
+    "job_id string, routing_key string, payload string, created_at timestamp, execute_at timestamp,"
+    " due_hour timestamp"
+)
+RELEASES = "job_id string, routing_key string, payload string, execute_at timestamp"
+_CLOCK = "clock timestamp"
+
+
+def run_release(jobs: DataFrame, root: str, checkpoint: str) -> None:
+    """Drain a job stream: ``pending`` keeps every job once, ``released`` those due by the clock.
+
+    The clock is the newest creation time seen. A job is released by the first micro-batch whose
+    clock reaches its due time: it became due since the previous clock, or it arrived just now and
+    was due already. Pending jobs lie in one partition per due hour, so a release reads the hours
+    the clock passed and nothing else. No per-job Python runs; use it for bulk queues, and the
+    timers of ``release_stream`` for low latency.
+    """
+    spark = jobs.sparkSession
+
+    def release(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            seen = read_batches(spark, f"{root}/clock", _CLOCK).filter(F.col("batch_id") < batch_id)
+            before = seen.agg(F.max("clock").alias("c")).first()["c"]
+            newest = batch.agg(F.max("created_at").alias("c")).first()["c"]
+            now = max(c for c in (before, newest) if c is not None) if before or newest else None
+            if now is None:
+                return
+            first = first_per_key(schedule(batch), ["job_id"], [F.col("created_at")]).select(
+                "job_id", "routing_key", "payload", "created_at", "execute_at",
+                F.date_trunc("hour", "execute_at").alias("due_hour"),
+            )
+            history = read_batches(spark, f"{root}/pending", SCHEDULED).filter(
+                F.col("batch_id") < batch_id
+            )
+            unseen(first, history, "job_id").write.mode("overwrite").partitionBy("due_hour").parquet(
+                f"{root}/pending/batch_id={batch_id}"
+            )
+            pending = read_batches(spark, f"{root}/pending", SCHEDULED)
+            due = pending.filter(
+                (F.col("batch_id") <= batch_id)
+                & (F.col("due_hour") <= F.lit(now))
+                & (F.col("execute_at") <= F.lit(now))
+            )
+            if before is not None:
+                passed = F.date_trunc("hour", F.lit(before).cast("timestamp"))
+                just_now = F.col("batch_id") == batch_id
+                due = due.filter(just_now | ((F.col("due_hour") >= passed) & (F.col("execute_at") > F.lit(before))))
+            write_batch(
+                due.select("job_id", "routing_key", "payload", "execute_at"), f"{root}/released", batch_id
+            )
+            write_batch(spark.createDataFrame([(now,)], _CLOCK), f"{root}/clock", batch_id)
+        finally:
+            batch.unpersist()
+
+    drain(jobs.writeStream.foreachBatch(release), checkpoint)
+
+
+def released(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, f"{root}/released", RELEASES).drop("batch_id")

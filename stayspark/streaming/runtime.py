@@ -2,22 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from stayspark.session import ensure_checkpoint_dir
-
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the checkpoint folder all executors share."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
 def drain(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process everything there is, then stop; a restart goes on from the checkpoint."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stayspark.operators import sli
 from stayspark.sources.topics import TOPIC_ROW, append_to_folder, file_stream
 from stayspark.streaming import hotel_events
-from stayspark.streaming.delay_queue import release_stream
+from stayspark.streaming.delay_queue import release_stream, released, run_release
 from stayspark.streaming.runtime import drain, read_batches, write_batch
 from stayspark.streaming.sli_stream import alert_stream, latest_slis, run_slis, windowed_slis
 
@@ -112,6 +112,28 @@ def test_delay_queue_releases_due_jobs_once(spark, tmp_path):
     assert run() == ["later", "now"]
 
 
+def test_bulk_release_agrees(spark, tmp_path):
+    schema = "job_id string, routing_key string, payload string, created_at timestamp, delay_s int"
+    source, root, ckpt = (str(tmp_path / n) for n in ("jobs", "queue", "ckpt"))
+
+    def add(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        run_release(stream, root, ckpt)
+        return sorted(r.job_id for r in released(spark, root).collect())
+
+    add(("now", "email.send", "a", T0, 0), ("later", "email.send", "b", T0, 300), ("x", " ", "b", T0, 0))
+    assert run() == ["now"]
+    add(("now", "email.send", "a", datetime(2026, 1, 1, 0, 4, 59), 0))
+    assert run() == ["now"]
+    add(("tick", "email.send", "t", datetime(2026, 1, 1, 0, 5), 3600))
+    assert run() == ["later", "now"]
+    add(("late", "email.send", "t", T0, 10), ("tock", "email.send", "t", datetime(2026, 1, 1, 2), 1))
+    assert run() == ["late", "later", "now", "tick"]
+
+
 def sample_requests(spark):
     i = F.col("id")
     return spark.range(600).select(
