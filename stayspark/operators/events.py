@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayspark.functions.columns import blank_to_null, once
@@ -199,9 +199,16 @@ def consumer_lag(end_offsets: DataFrame, committed: DataFrame) -> DataFrame:
     done = committed.groupBy(
         F.col("topic_name").alias("topic"), "consumer_group_id", "partition_id"
     ).agg(F.max("kafka_offset").alias("_done"))
-    groups = done.select("topic", "consumer_group_id").distinct()
-    per_partition = ends.join(groups, "topic").join(
-        done, ["topic", "consumer_group_id", "partition_id"], "left"
+    rows = ends.join(done, ["topic", "partition_id"], "left")
+    # A group owes the whole of a partition it never committed: everything minus what it reached.
+    one_per_partition = Window.partitionBy("topic", "partition_id").orderBy("consumer_group_id")
+    size = F.when(F.row_number().over(one_per_partition) == 1, F.col("_end") + 1)
+    sized = rows.withColumn("_size", size)
+    total = F.sum("_size").over(Window.partitionBy("topic"))
+    behind = F.greatest(F.col("_end") - F.col("_done"), F.lit(0))
+    return (
+        sized.withColumn("_total", total)
+        .filter("consumer_group_id is not null")
+        .groupBy("topic", "consumer_group_id")
+        .agg((F.sum(behind) + F.max("_total") - F.sum(F.col("_end") + 1)).alias("lag"))
     )
-    lag = F.greatest(F.col("_end") - F.coalesce("_done", F.lit(-1)), F.lit(0))
-    return per_partition.groupBy("topic", "consumer_group_id").agg(F.sum(lag).alias("lag"))

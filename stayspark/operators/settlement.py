@@ -189,10 +189,14 @@ def settle_with_cancels(
     by group in order, provided every (hotel, room type) left has at most ``max_group_rows`` rows;
     larger groups stay with the rounds.
     """
-    ends = cancels.groupBy(F.col("booking_id").alias("id")).agg(F.min("requested_at").alias("_at"))
+    ends = (
+        cancels.withColumnRenamed("booking_id", "id")
+        .join(requests.select("id", "created_at"), "id")
+        .filter("requested_at >= created_at")
+        .groupBy("id")
+        .agg(F.min("requested_at").alias("cancelled_at"))
+    )
     timed = requests.withColumn("ts", F.unix_micros("created_at")).join(ends, "id", "left")
-    later = F.col("_at") >= F.col("created_at")
-    timed = timed.withColumn("cancelled_at", F.when(later, F.col("_at"))).drop("_at")
     timed = timed.withColumn("end_ts", F.unix_micros("cancelled_at"))
     dates_ok = F.col("check_out") > F.col("check_in")
     payable = timed.filter(dates_ok & ~declined(F.col("payment_token")))

@@ -477,7 +477,7 @@ def _(v: Views):
 def _(v: Views):
     return aggs.summary_row(
         v.spark, users=v.users(), hotels=v.hotels(), bookings=v.bookings(), payments=v.payments(),
-        described=v.hotels().filter("description is not null"),
+        described=v.described_hotels().filter("description is not null"),
     )
 
 

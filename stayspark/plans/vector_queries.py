@@ -92,7 +92,7 @@ def centroids(v: Views):
 
 
 def hotel_documents(v: Views):
-    docs = vectors.retrieval_documents(v.hotels())
+    docs = vectors.retrieval_documents(v.described_hotels())
     return docs.withColumn("hotel_id", F.col("metadata.hotelId"))
 
 
@@ -124,7 +124,7 @@ def hotel_texts(v: Views):
     select id, text, hotel_id, "name", city, price_per_night from hotel_docs""")
 def _(v: Views):
     m = F.col("metadata")
-    return vectors.retrieval_documents(v.hotels()).select(
+    return vectors.retrieval_documents(v.described_hotels()).select(
         "id", "text", m["hotelId"].alias("hotel_id"), m["name"].alias("name"),
         m["city"].alias("city"), m["pricePerNight"].alias("price_per_night"),
     )
@@ -167,7 +167,7 @@ def _(v: Views):
       union all select id, "name", 1 from hotels where description is null and manager_id is not null) x""")
 def _(v: Views):
     """The store of described hotels takes in a fresh batch of the managed ones."""
-    hotels = v.hotels().select("id", "name", "manager_id", "description")
+    hotels = v.described_hotels().select("id", "name", "manager_id", "description")
     old = hotels.filter("description is not null").select(
         "id", F.lit("old").alias("version"), F.length("name").alias("n")
     )

@@ -50,10 +50,7 @@ class Views:
         named = self.table("supplier").join(
             self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")
         )
-        described = named.join(
-            self.table("documents").select("doc_id", "text"), k == F.col("doc_id"), "left"
-        )
-        return described.select(
+        return named.select(
             k.alias("id"),
             F.col("s_name").alias("name"),
             F.col("n_name").alias("city"),
@@ -64,9 +61,14 @@ class Views:
             .when(k % 4 == 2, "spa, pools, bar")
             .when(k % 4 == 3, "gym , ,laundry")
             .alias("amenities"),
-            F.col("text").alias("description"),
         )
 
+    def described_hotels(self) -> DataFrame:
+        texts = self.table("documents").select(
+            F.col("doc_id").alias("id"), F.col("text").alias("description")
+        )
+        return self.hotels().join(texts, "id", "left")
+
     def bookings(self) -> DataFrame:
         o, c = F.col("o_orderkey"), F.col("o_custkey")
         offset = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))

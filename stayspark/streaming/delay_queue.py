@@ -81,7 +81,7 @@ def release_stream(jobs: DataFrame, watermark: str = "0 seconds") -> DataFrame:
 # ---- the same queue as set operations per micro-batch ------------------------------------------
 SCHEDULED = (
     "job_id string, routing_key string, payload string, created_at timestamp, execute_at timestamp,"
-    " due_hour timestamp"
+    " due_day timestamp"
 )
 RELEASES = "job_id string, routing_key string, payload string, execute_at timestamp"
 _CLOCK = "clock timestamp"
@@ -92,7 +92,7 @@ def run_release(jobs: DataFrame, root: str, checkpoint: str) -> None:
 
     The clock is the newest creation time seen. A job is released by the first micro-batch whose
     clock reaches its due time: it became due since the previous clock, or it arrived just now and
-    was due already. Pending jobs lie in one partition per due hour, so a release reads the hours
+    was due already. Pending jobs lie in one partition per due day, so a release reads the days
     the clock passed and nothing else. No per-job Python runs; use it for bulk queues, and the
     timers of ``release_stream`` for low latency.
     """
@@ -109,24 +109,25 @@ def run_release(jobs: DataFrame, root: str, checkpoint: str) -> None:
                 return
             first = first_per_key(schedule(batch), ["job_id"], [F.col("created_at")]).select(
                 "job_id", "routing_key", "payload", "created_at", "execute_at",
-                F.date_trunc("hour", "execute_at").alias("due_hour"),
+                F.date_trunc("day", "execute_at").alias("due_day"),
             )
             history = read_batches(spark, f"{root}/pending", SCHEDULED).filter(
                 F.col("batch_id") < batch_id
             )
-            unseen(first, history, "job_id").write.mode("overwrite").partitionBy("due_hour").parquet(
+            fresh = unseen(first, history, "job_id").repartitionByRange("execute_at")
+            fresh.write.mode("overwrite").partitionBy("due_day").parquet(
                 f"{root}/pending/batch_id={batch_id}"
             )
             pending = read_batches(spark, f"{root}/pending", SCHEDULED)
             due = pending.filter(
                 (F.col("batch_id") <= batch_id)
-                & (F.col("due_hour") <= F.lit(now))
+                & (F.col("due_day") <= F.lit(now))
                 & (F.col("execute_at") <= F.lit(now))
             )
             if before is not None:
-                passed = F.date_trunc("hour", F.lit(before).cast("timestamp"))
+                passed = F.date_trunc("day", F.lit(before).cast("timestamp"))
                 just_now = F.col("batch_id") == batch_id
-                due = due.filter(just_now | ((F.col("due_hour") >= passed) & (F.col("execute_at") > F.lit(before))))
+                due = due.filter(just_now | ((F.col("due_day") >= passed) & (F.col("execute_at") > F.lit(before))))
             write_batch(
                 due.select("job_id", "routing_key", "payload", "execute_at"), f"{root}/released", batch_id
             )
