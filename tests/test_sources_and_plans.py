@@ -111,6 +111,7 @@ def test_pushdown_and_pruning(spark, tmp_path):
     )
     stays.write.parquet(str(tmp_path / "bookings"))
     stored = spark.read.schema(stays.schema).parquet(str(tmp_path / "bookings"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     found = filters.bookings_matching(stored, status="CONFIRMED", hotel_ids=[1, 2], check_in_from="2026-01-01")
     plan = plan_of(found.select("id"))
     assert "EqualTo(status,CONFIRMED)" in plan and "In(hotel_id, [1,2])" in plan
