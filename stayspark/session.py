@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -25,6 +26,8 @@ def build_session(
     if master is not None:
         builder = builder.master(master).config("spark.ui.enabled", "false")
         builder = builder.config("spark.ui.showConsoleProgress", "false")
+        # One JVM is driver and executors; takes effect only when this call starts it.
+        builder = builder.config("spark.driver.memory", os.environ.get("STAYSPARK_LOCAL_MEMORY", "12g"))
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
