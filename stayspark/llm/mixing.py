@@ -114,10 +114,9 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mixed rows in training order: one row per copy with the columns of the input, the text of a cut
     copy ending after its last taken word, and n_chars (where the input has it) as long as its text."""
     taken = assign(docs).select("*", F.explode("mix_copies").alias("mix_copy"))
-    cut = F.concat(F.lit("^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){"), F.col("mix_copy.words").cast("string"), F.lit("}"))
-    text = F.when(F.col("mix_copy.words") == F.col("mix_size"), F.col("text")).otherwise(
-        F.regexp_extract(F.col("text"), cut, 0)
-    )
+    each = F.regexp_extract_all("text", F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    cut = F.array_join(F.slice(each, F.lit(1), F.col("mix_copy.words").cast("int")), "")
+    text = F.when(F.col("mix_copy.words") == F.col("mix_size"), F.col("text")).otherwise(cut)
     changed = {"text": text}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("mix_copy.words") == F.col("mix_size"), F.col("n_chars")).otherwise(F.length(text))
