@@ -89,7 +89,7 @@ def deleted_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         active = written(pairs.join(places, [f"r{k}", "next"], "left").drop("next"), f"suffixes-{k + 1}")
 
     # An interval is (lines, rank of the first power of two, rank of the last one).
-    level = F.floor(F.log2(F.col("lines").cast("double"))).cast("int")
+    level = sum(((F.col("lines") >= (1 << k)).cast("int") for k in range(1, levels + 1)), F.lit(0))
 
     forward = active.where("ahead is not null").withColumn("lines", F.col("ahead")).withColumn("level", level)
     stretches = []

@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayspark.llm import mixing, packing, simhash
+from stayspark.llm import line_dedup, mixing, packing, quality, simhash
 from stayspark.llm.common import table
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its lines, how many of them were later copies, and the text without those."""
+    rows = line_dedup.deduplicate(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"), "text")
+
+
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents")).drop("qr_tie")
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.assign(table(spark, folder, "documents").select("doc_id", "text", "source"))
     rows = rows.withColumn("position", F.array_min(F.transform("mix_copies", lambda c: c["position"])))
@@ -34,6 +44,8 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op6_mixing": op6_mixing,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
