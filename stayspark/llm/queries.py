@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayspark.llm import line_dedup, mixing, packing, quality, simhash
+from stayspark.llm import digest, html_text, language, line_dedup, mixing, packing, pii, quality, simhash, toxicity
 from stayspark.llm.common import table
 
 
@@ -17,10 +17,23 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"), "text")
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.summary(table(spark, folder, "documents"))
+
+
+def op3_quartile_digest(spark: SparkSession, folder: str) -> DataFrame:
+    return digest.compare_with_following(table(spark, folder, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents")).drop("qr_tie")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.predict_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.assign(table(spark, folder, "documents").select("doc_id", "text", "source"))
     rows = rows.withColumn("position", F.array_min(F.transform("mix_copies", lambda c: c["position"])))
@@ -43,11 +56,25 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    found = language.predict_languages(table(spark, folder, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_pii": op2_pii,
+    "op3_quartile_digest": op3_quartile_digest,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_mixing": op6_mixing,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
+    "op9_language": op9_language,
+    "op10_html_text": op10_html_text,
 }
 ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE}
