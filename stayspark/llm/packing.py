@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import heapq
 import math
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,6 +79,18 @@ class Encoder:
         return b"".join(ids)
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: later tasks of the same worker go on with its table of words.
+
+    Functions are shipped by value, so the module they come from doesn't outlive a task; a name among the
+    loaded modules does.
+    """
+    kept = sys.modules.setdefault("stayspark_worker_encoders", types.ModuleType("stayspark_worker_encoders"))
+    if path not in vars(kept):
+        vars(kept)[path] = Encoder(path)
+    return vars(kept)[path]
+
+
 def differencing(lengths: np.ndarray, k: int) -> tuple[np.ndarray, int]:
     """Window of each item when the items are differenced into k windows, and the fullest window's sum."""
     n = len(lengths)
@@ -133,7 +147,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zlib
 
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
