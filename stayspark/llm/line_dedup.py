@@ -59,6 +59,8 @@ def deleted_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     keyed = _keyed(docs)
     rows = written(_line_rows(keyed.select(*KEY, "text")).distinct(), "lines")
     repeated = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    # As a table of its own, so that a line which stands in most documents is a skewed join that can be split.
+    repeated = written(repeated, "repeated-ids")
     by_document = Window.partitionBy(*KEY).orderBy("seq")
     active = rows.join(repeated, "id", "left_semi")
     # Stretches of repeated lines without a gap share seq - row number.
