@@ -33,7 +33,7 @@ from stayspark.llm.common import whole, written
 CAPACITY = 2048
 PIECE = 512
 WINDOWS = 256
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_300_000
 #: ASCII punctuation that never joins a letter run; an apostrophe may.
 PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
