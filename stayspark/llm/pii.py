@@ -9,10 +9,11 @@ information of term and entity over documents, as a share of the entity's inform
 
 A share of 1 means that the term occurs nowhere else. Terms of at least ``GENERALISE`` are generalised,
 those of at least ``REMOVE`` removed, wherever they occur. As one document proves nothing, only entities and
-pairs that occur in ``SUPPORT`` documents of different text count. c(t) counts all documents, c(t, e) those
-where the term is near. Terms are ASCII-lower-cased and cut at blanks and ASCII punctuation but for - and '.
+pairs that occur in ``SUPPORT`` different texts count. N and c(t) count all rows, c(e) the documents that hold
+the entity, c(t, e) those where the term is near it. Terms are ASCII-lower-cased and cut at blanks and ASCII punctuation but for - and '.
 
-Null text is empty. Repeated rows (same id and text) get the same result each and count as one document. A
+Null text is empty. Repeated rows (same id and text) get the same result each and are one document in c(e) and
+c(t, e). A
 null id is a document like any other. An empty table gives no rows. Only doc_id and text are read; positions
 are code points, ends exclusive.
 """
@@ -124,19 +125,21 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
 def disclosing_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
     """(term, action): terms that disclose an entity."""
-    # A document counts once, and copies of a text count as one document.
-    seen = base.select("pii_hash", F.explode("pii_base").alias("s")).select("pii_hash", "s.entity", "s.near")
-    entities = seen.select("pii_hash", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("c_e")).where(F.col("c_e") >= SUPPORT)
-    pairs = seen.join(entities, "entity").select("pii_hash", "entity", "c_e", F.explode("near").alias("term"))
+    seen = base.select(*KEY, F.explode("pii_base").alias("s")).select(*KEY, "s.entity", "s.near")
+    texts, documents = F.count_distinct("pii_hash"), F.count(F.lit(1))
+    entities = seen.select(*KEY, "entity").distinct().groupBy("entity").agg(documents.alias("c_e"), texts.alias("texts"))
+    entities = entities.where(F.col("texts") >= SUPPORT).select("entity", "c_e")
+    pairs = seen.join(entities, "entity").select(*KEY, "entity", "c_e", F.explode("near").alias("term"))
     pairs = pairs.where(F.col("term").rlike("^[\\p{L}\\p{M}][\\p{L}\\p{M}'-]{2,}$")).distinct()
-    pairs = pairs.groupBy("term", "entity", "c_e").agg(F.count(F.lit(1)).alias("c_te")).where(F.col("c_te") >= SUPPORT)
-    pairs = written(pairs, "pii-pairs")
-    terms = written(pairs.select("term").distinct(), "pii-terms")
-    texts = docs.select(F.xxhash64("text").alias("pii_hash"), F.explode(F.array_distinct(words(plain(whole())))).alias("term"))
-    often = texts.join(terms, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
-    total = docs.count()
-    share = F.log(F.lit(float(max(total, 1))) * F.col("c_te") / (F.col("c_t") * F.col("c_e"))) / F.greatest(F.log(F.lit(float(max(total, 1))) / F.col("c_e")), F.lit(1e-9))
-    found = pairs.join(often, "term").withColumn("share", share).groupBy("term").agg(F.max("share").alias("share"))
+    pairs = pairs.groupBy("term", "entity", "c_e").agg(documents.alias("c_te"), texts.alias("texts")).where(F.col("texts") >= SUPPORT)
+    pairs = written(pairs.drop("texts"), "pii-pairs")
+    # Summed up per task before anything is joined: a common term is one row of each task.
+    hashed = F.transform(words(plain(whole())), lambda w: F.xxhash64(w))
+    often = docs.select(F.explode(F.array_distinct(hashed)).alias("term_hash")).groupBy("term_hash").agg(documents.alias("c_t"))
+    total = float(max(docs.count(), 1))
+    share = F.log(F.lit(total) * F.col("c_te") / (F.col("c_t") * F.col("c_e"))) / F.greatest(F.log(F.lit(total) / F.col("c_e")), F.lit(1e-9))
+    pairs = pairs.withColumn("term_hash", F.xxhash64("term"))
+    found = pairs.join(often, "term_hash").withColumn("share", share).groupBy("term").agg(F.max("share").alias("share"))
     action = F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise")
     return written(found.where(F.col("share") >= GENERALISE).select("term", action.alias("action")), "pii-disclosing")
 
