@@ -48,7 +48,7 @@ def labelled(rng, n):
         words = [rng.choice(vocabulary) for _ in range(rng.randint(8, 80))]
         bad = i % 5 == 0
         if bad:
-            for _ in range(rng.randint(1, 4)):
+            for _ in range(rng.randint(2, 5)):
                 words.insert(rng.randrange(len(words)), rng.choice(["vexgrub", "zawkpit"]) + rng.choice(["", "", ",", "!"]))
         rows.append((i, " ".join(words), "en", "s", 1, "clash"))
         labels.append((i, 1, int(bad)))
