@@ -35,6 +35,8 @@ SCALE = 40.0
 #: Words of vector zero that every document is averaged with, so that a few words alone weigh little.
 PRIOR_WORDS = 20
 EPOCHS = 12
+#: Batches at least; small samples are gone through more often.
+BATCHES = 750
 BATCH = 64
 RATE = 0.4
 CACHE_WORDS = 500_000
@@ -83,8 +85,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     offsets = np.log(np.array([1 - positive, positive], np.float32))
     seen = [np.full_like(a, 1e-6) for a in (vectors, outputs, offsets)]
     target = np.stack([1 - labels, labels], axis=1).astype(np.float32)
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-BATCHES * BATCH // len(bags)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
@@ -135,11 +138,17 @@ class Scorer:
         return 1.0 / (1.0 + float(np.exp(-np.clip(odds, -60, 60))))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Model of (doc_id, text, toxic) rows."""
-    sizes = labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("class_rows"))
+def sampled(known: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """About ``sample`` rows of each class of (doc_id, toxic), by the hash of the id; this bounds its size."""
+    sizes = known.groupBy("toxic").agg(F.count(F.lit(1)).alias("class_rows"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = labelled.join(F.broadcast(sizes), "toxic").where(place * F.col("class_rows") < sample)
+    return known.join(F.broadcast(sizes), "toxic").where(place * F.col("class_rows") < sample).select("doc_id", "toxic")
+
+
+def fit(docs: DataFrame, known: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
+    """Model of documents and their (doc_id, toxic) rows. The sampled ids are sent to the documents, so
+    that no text is moved but those learned from."""
+    chosen = docs.select("doc_id", whole().alias("text")).join(F.broadcast(sampled(known, sample)), "doc_id")
     chosen = chosen.select(F.lit(0).alias("one"), "doc_id", "text", "toxic")
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
@@ -170,5 +179,4 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
 def predict_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, sample: int = SAMPLE) -> DataFrame:
     """Every row with its score, learned from labelled rows outside the fold."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id", folds, fold)).select("doc_id", "toxic").distinct()
-    labelled = docs.select("doc_id", whole().alias("text")).join(known, "doc_id")
-    return score(docs, fit(labelled, sample)).withColumn("held_out", held_out("doc_id", folds, fold))
+    return score(docs, fit(docs, known, sample)).withColumn("held_out", held_out("doc_id", folds, fold))
