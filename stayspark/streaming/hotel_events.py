@@ -41,24 +41,15 @@ def as_log(messages: DataFrame) -> DataFrame:
     )
 
 
-def consume_stream(messages: DataFrame, root: str, checkpoint: str, watermark: str = "1 day") -> None:
+def consume_stream(messages: DataFrame, root: str, checkpoint: str) -> None:
     """Drain a topic stream into the tables.
 
-    Deliveries repeated within the watermark are dropped in bounded state, each micro-batch is
-    then checked against everything processed before it.
+    An event id is processed once, however late a delivery comes: the first delivery of a micro-batch by
+    (partition, offset) is checked against everything processed before it, and nothing is dropped for
+    its age. A broken record becomes a letter; topic, partition and offset name it.
     """
     spark = messages.sparkSession
     good_or_bad = events.parse_log(as_log(messages))
-    identity = F.coalesce(
-        F.when(F.col("error").isNull(), F.col("event.eventId")),
-        F.concat_ws("-", F.lit("#"), "topic", "partition_id", "kafka_offset"),
-    )
-    deduplicated = (
-        good_or_bad.withColumn("_identity", identity)
-        .withWatermark("occurred_at", watermark)
-        .dropDuplicatesWithinWatermark(["_identity"])
-        .drop("_identity")
-    )
 
     def settle_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -85,7 +76,7 @@ def consume_stream(messages: DataFrame, root: str, checkpoint: str, watermark: s
         finally:
             batch.unpersist()
 
-    drain(deduplicated.writeStream.foreachBatch(settle_batch), checkpoint)
+    drain(good_or_bad.writeStream.foreachBatch(settle_batch), checkpoint)
 
 
 def letter_ids(spark: SparkSession, root: str) -> DataFrame:
@@ -150,7 +141,9 @@ def current_letters(spark: SparkSession, root: str) -> DataFrame:
     closed = read_batches(spark, f"{root}/resolved", RESOLVED).groupBy(
         F.col("event_id").alias("original_event_id")
     ).agg(F.max("resolved_at").alias("_at"))
-    final = effective.join(closed, "original_event_id", "left")
+    # A success closes the letter unless it was asked for again after that.
+    answers = F.col("_at").isNotNull() & (F.col("last_retried_at").isNull() | (F.col("_at") >= F.col("last_retried_at")))
+    final = effective.join(closed, "original_event_id", "left").withColumn("_at", F.when(answers, F.col("_at")))
     return final.select(
         *[
             F.when(F.col("_at").isNotNull(), "RESOLVED").otherwise(F.col(c)).alias(c) if c == "retry_status"
