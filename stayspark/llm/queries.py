@@ -37,7 +37,8 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.assign(table(spark, folder, "documents").select("doc_id", "text", "source"))
     rows = rows.withColumn("position", F.array_min(F.transform("mix_copies", lambda c: c["position"])))
-    return rows.orderBy("position").select(
+    # Documents that are not taken have no position; the id spreads them over the ranges.
+    return rows.orderBy("position", "doc_id").select(
         "doc_id",
         F.col("mix_size").alias("size"),
         F.col("mix_source_size").alias("source_size"),
