@@ -34,7 +34,10 @@ _JOB = T.StructType(
 
 
 class _Release(StatefulProcessor):
-    """Keeps a job until the watermark reaches its due time; a second delivery changes nothing."""
+    """Keeps a job until the watermark reaches its due time; a second delivery changes nothing.
+
+    A job that arrives when its due time has passed already is released at once.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -47,28 +50,38 @@ class _Release(StatefulProcessor):
                 continue
             row = pdf.iloc[0]
             due = int(row["execute_ms"])
-            self.job.update((row["routing_key"], row["payload"], due, False))
-            self.handle.registerTimer(max(due, timerValues.getCurrentWatermarkInMs() + 1))
+            overdue = due <= timerValues.getCurrentWatermarkInMs()
+            self.job.update((row["routing_key"], row["payload"], due, overdue))
             known = True
-        return iter(())
+            if overdue:
+                yield self._row(key, row["routing_key"], row["payload"], due)
+            else:
+                self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         routing_key, payload, due, released = self.job.get()
         if not released:
             self.job.update((routing_key, payload, due, True))
-            row = (key[0], routing_key, payload, due)
-            yield pd.DataFrame([row], columns=[f.name for f in RELEASED.fields], dtype=object)
+            yield self._row(key, routing_key, payload, due)
+
+    @staticmethod
+    def _row(key, routing_key, payload, due) -> pd.DataFrame:
+        row = (key[0], routing_key, payload, due)
+        return pd.DataFrame([row], columns=[f.name for f in RELEASED.fields], dtype=object)
 
     def close(self) -> None:
         pass
 
 
 def release_stream(jobs: DataFrame, watermark: str = "0 seconds") -> DataFrame:
-    """jobs: job_id, routing_key, payload, created_at, delay_s -> released jobs (append)."""
+    """jobs: job_id, routing_key, payload, created_at, delay_s -> released jobs (append).
+
+    The watermark only moves the clock. The creation time doesn't reach the stateful step, so a job
+    older than the watermark isn't taken for late data and dropped.
+    """
     use_rocksdb(jobs.sparkSession)
     due = schedule(jobs.withWatermark("created_at", watermark)).select(
-        "job_id", "routing_key", "payload", "created_at",
-        F.unix_millis("execute_at").alias("execute_ms"),
+        "job_id", "routing_key", "payload", F.unix_millis("execute_at").alias("execute_ms")
     )
     return due.groupBy("job_id").transformWithStateInPandas(
         statefulProcessor=_Release(),

@@ -110,6 +110,11 @@ def test_delay_queue_releases_due_jobs_once(spark, tmp_path):
     add(("now", "email.send", "a", datetime(2026, 1, 1, 0, 5), 0))
     add(("tick2", "email.send", "t", datetime(2026, 1, 1, 0, 6), 3600))
     assert run() == ["later", "now"]
+    # Older than all before: one was due already, the other becomes due between the clock's stops.
+    add(("old", "email.send", "o", datetime(2025, 12, 31), 60), ("between", "email.send", "o", T0, 480))
+    assert run() == ["later", "now", "old"]
+    add(("old", "email.send", "o", datetime(2025, 12, 31), 60), ("tick3", "email.send", "t", datetime(2026, 1, 1, 0, 9), 3600))
+    assert run() == ["between", "later", "now", "old"]
 
 
 def test_bulk_release_agrees(spark, tmp_path):
