@@ -108,16 +108,15 @@ def _(v: Views):
 
 
 @query("src6_insert_only_new", """
-    select min(p_partkey) id, lower(p_name) "name" from part
-    where lower(p_name) not in (select lower(p_name) from part where p_size <= 10)
-    group by lower(p_name)""")
-def _(v: Views):
-    """Catalogue names not present, ignoring case, among the small parts."""
-    parts = v.table("part").select(
-        F.col("p_partkey").alias("id"), F.upper("p_name").alias("name"), "p_size"
-    )
-    existing = v.table("part").filter("p_size <= 10").select(F.col("p_name").alias("name"))
-    fresh = generate.only_new(parts.drop("p_size"), existing, "name", ignore_case=True)
+    with labels as (select p_partkey id, p_size, lower(p_name) || ' ' || (p_partkey % 97) "name" from part)
+    select min(id) id, "name" from labels
+    where "name" not in (select "name" from labels where p_size <= 10) group by "name\"""")
+def _(v: Views):
+    """Labels (name and series) not present, ignoring case, among those of the small parts."""
+    label = F.concat_ws(" ", "p_name", F.col("p_partkey") % 97)
+    parts = v.table("part").select(F.col("p_partkey").alias("id"), F.upper(label).alias("name"))
+    existing = v.table("part").filter("p_size <= 10").select(label.alias("name"))
+    fresh = generate.only_new(parts, existing, "name", ignore_case=True)
     return fresh.select("id", F.lower("name").alias("name"))
 
 
@@ -183,9 +182,9 @@ def _(v: Views):
 # ---- filters -------------------------------------------------------------------------------
 @query("fil1_hotel_filter", """
     select id, "name", city, price_per_night from hotels
-    where lower(city) = 'france' and price_per_night >= 100 and price_per_night <= 400""")
+    where lower(city) = 'nation_13' and price_per_night >= 100 and price_per_night <= 400""")
 def _(v: Views):
-    return filters.hotels_matching(v.hotels(), " France ", 100, 400).select(
+    return filters.hotels_matching(v.hotels(), " Nation_13 ", 100, 400).select(
         "id", "name", "city", "price_per_night"
     )
 
@@ -215,12 +214,12 @@ def _(v: Views):
     select id, "name", city, manager_id from hotels
     where manager_id in (select id from users where "role" = 'HOTEL_MANAGER')
     union all
-    select id, "name", city, manager_id from hotels where city = 'GERMANY'""")
+    select id, "name", city, manager_id from hotels where city = 'NATION_13'""")
 def _(v: Views):
     hotels = v.hotels().select("id", "name", "city", "manager_id")
     managers = v.users().filter("role = 'HOTEL_MANAGER'").select("id")
     return filters.by_ids(hotels, managers, "manager_id").select(*hotels.columns).unionByName(
-        filters.by_exact(hotels, "city", "GERMANY")
+        filters.by_exact(hotels, "city", "NATION_13")
     )
 
 

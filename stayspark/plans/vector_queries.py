@@ -14,6 +14,8 @@ from stayspark.sources.tables import spread
 from stayspark.sources.views import Views
 
 DIM = 64
+#: A label's mean lies far from each of its members.
+CENTROID_SCORE = 0.1
 TEMPLATE = "Context:\n{context}\n\nQuestion: {question}"
 DEFAULT_QUESTION = "Find hotels near the beach under $100"
 
@@ -61,7 +63,7 @@ REG = Registry(
             select * from (select query_id, id, score, row_number() over (partition by query_id
                              order by score desc, id) "rank" from (
               select query_id, v.id, {_cos('c.embedding', 'v.embedding')} score
-              from centroids c, vectors v where price_per_night < 300) s where score > 0.5) r
+              from centroids c, vectors v where price_per_night < 300) s where score > {CENTROID_SCORE}) r
             where "rank" <= 4""",
         "hotel_hits": f"""
             select * from (select query_id, hotel_id, id, score, row_number() over (partition by query_id
@@ -142,7 +144,7 @@ def _(v: Views):
 def _(v: Views):
     """The four nearest affordable vectors of every label's mean."""
     return vectors.similarity_search(
-        v.vectors(), centroids(v), condition=("pricePerNight", "<", 300.0)
+        v.vectors(), centroids(v), threshold=CENTROID_SCORE, condition=("pricePerNight", "<", 300.0)
     )
 
 

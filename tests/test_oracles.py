@@ -11,6 +11,8 @@ import __spark_entry__ as entry
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+#: The smallest tables hold nothing that these ask for; the larger ones do.
+NOTHING_IN_SMALLEST = {"page1_users_by_role", "bkg10_create_inventory", "txt5_price_filter"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 
@@ -22,6 +24,8 @@ def duck():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_sql(spark, duck, name):
     assert compare(QUERIES[name](spark, FOLDER), duck, ORACLES[name]) is None
+    if name not in NOTHING_IN_SMALLEST:
+        assert duck.execute(ORACLES[name]).fetchone() is not None, "equal because both are empty"
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
