@@ -115,6 +115,8 @@ def deleted_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     found = written(found.distinct(), "intervals")
     place = F.struct("dedup_null", "dedup_id", "dedup_hash", "seq")
     heads = found.groupBy("lines", "a", "b").agg(F.min(place).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # A table of its own as well: a run that stands in most documents is then a skewed join that can be split.
+    heads = written(heads, "run-heads")
     later = found.join(heads, ["lines", "a", "b"]).where(place > F.col("head"))
     covered = later.select(*KEY, F.explode(F.sequence("seq", F.col("seq") + F.col("lines") - 1)).alias("seq")).distinct()
     return covered.join(active.select(*KEY, "seq", "line"), [*KEY, "seq"]).select(*KEY, "line")
