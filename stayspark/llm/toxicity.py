@@ -17,7 +17,7 @@ are scored each. An empty table gives no rows.
 
 from __future__ import annotations
 
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from stayspark.llm.common import whole
 from stayspark.llm.language import held_out
 
-BUCKETS = 1 << 16
+BUCKET_BITS = 16
+BUCKETS = 1 << BUCKET_BITS
+LONGEST_RUN = 5
 SIZE = 8
 SAMPLE = 2000
 SCALE = 40.0
@@ -40,36 +42,48 @@ BATCHES = 750
 BATCH = 64
 RATE = 0.4
 CACHE_WORDS = 500_000
+#: Texts that are scored together, and new words that are hashed together.
+TEXTS = 64
+NEW_WORDS = 20_000
+HASH = np.uint32(2654435761)
 PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~' + "'"
 
 
-def subwords(word: str) -> np.ndarray:
-    """Buckets of a cleaned word."""
-    marked = f"<{word}>"
-    parts = [marked] + [marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)]
-    return np.fromiter((zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in parts), np.uint32, len(parts)) & np.uint32(BUCKETS - 1)
-
-
-def bag(text: str, cache: dict) -> tuple[np.ndarray, np.ndarray]:
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all runs of cleaned words, word after word within each length, and the place of the word of each.
+
+    Runs of a length are hashed together, for all words at once; the last ones are the words themselves.
+    """
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    c = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    starts = np.cumsum(sizes) - sizes
+    run, runs, owners = c * HASH, [], []
+    for n in range(2, LONGEST_RUN + 1):
+        run = (run[:-1] ^ run[:-1] >> np.uint32(15)) * HASH + c[n - 1 :]
+        if n > 2:
+            inside = owner[: len(run)] == owner[n - 1 :]
+            runs.append(run[inside])
+            owners.append(owner[: len(run)][inside])
+    powers = np.cumprod(np.full(int(sizes.max(initial=1)), HASH, np.uint32), dtype=np.uint32)
+    place = np.arange(len(c)) - np.repeat(starts, sizes)
+    runs.append(np.add.reduceat(c * powers[place], starts, dtype=np.uint32) if len(words) else np.empty(0, np.uint32))
+    owners.append(np.arange(len(words)))
+    mixed = np.concatenate(runs)
+    mixed = (mixed ^ mixed >> np.uint32(15)) * HASH
+    return mixed >> np.uint32(32 - BUCKET_BITS), np.concatenate(owners)
+
+
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of the mean."""
-    total, n = {}, 0
-    for word in text.lower().split():
-        word = word.strip(PUNCTUATION)
-        if not word:
-            continue
-        n += 1
-        total[word] = total.get(word, 0) + 1
-    index, weight = [], []
-    for word, times in total.items():
-        own = cache.get(word)
-        if own is None:
-            own = cache[word] = subwords(word)
-        index.append(own)
-        weight.append(np.full(len(own), times / ((n + PRIOR_WORDS) * len(own)), np.float32))
-    if not index:
-        return np.empty(0, np.uint32), np.empty(0, np.float32)
-    places, where = np.unique(np.concatenate(index), return_inverse=True)
-    return places, np.bincount(where, np.concatenate(weight)).astype(np.float32)
+    times = Counter(word.strip(PUNCTUATION) for word in text.lower().split())
+    times.pop("", None)
+    if not times:
+        return np.empty(0, np.int64), np.empty(0, np.float32)
+    index, owner = subwords(list(times))
+    of_word = np.fromiter(times.values(), np.float64, len(times)) / np.bincount(owner) / (times.total() + PRIOR_WORDS)
+    places, where = np.unique(index, return_inverse=True)
+    return places.astype(np.int64), np.bincount(where, of_word[owner]).astype(np.float32)
 
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
@@ -77,10 +91,9 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     positive = float(labels.mean()) if len(labels) else 0.0
     if positive in (0.0, 1.0):
         return np.zeros(BUCKETS, np.float32), 60.0 * (2 * positive - 1)
-    cache: dict = {}
-    bags = [bag(t, cache) for t in texts]
+    bags = [bag(t) for t in texts]
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.1, (BUCKETS, SIZE)).astype(np.float32)
+    vectors = rng.normal(0, 0.1, (SIZE, BUCKETS)).astype(np.float32)
     outputs = rng.normal(0, 0.3, (SIZE, 2)).astype(np.float32)
     offsets = np.log(np.array([1 - positive, positive], np.float32))
     seen = [np.full_like(a, 1e-6) for a in (vectors, outputs, offsets)]
@@ -91,24 +104,24 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
         order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             rows = order[at : at + BATCH]
-            index = np.concatenate([bags[r][0] for r in rows]).astype(np.int64)
+            index = np.concatenate([bags[r][0] for r in rows])
             weight = np.concatenate([bags[r][1] for r in rows])
             owner = np.repeat(np.arange(len(rows)), [len(bags[r][0]) for r in rows])
-            docs = np.stack([np.bincount(owner, weight * vectors[index, d], len(rows)) for d in range(SIZE)], axis=1) * SCALE
+            docs = np.stack([np.bincount(owner, weight * v[index], len(rows)) for v in vectors], axis=1) * SCALE
             logits = docs @ outputs + offsets
             logits -= logits.max(axis=1, keepdims=True)
             p = np.exp(logits)
             error = (p / p.sum(axis=1, keepdims=True) - target[rows]) / len(rows)
-            back = (error @ outputs.T * SCALE)[owner] * weight[:, None]
-            slots, where = np.unique(index, return_inverse=True)
-            step = np.stack([np.bincount(where, back[:, d]) for d in range(SIZE)], axis=1)
-            seen[0][slots] += step**2
+            back = error @ outputs.T * SCALE
+            for v, s, of_doc in zip(vectors, seen[0], back.T, strict=True):
+                step = np.bincount(index, of_doc[owner] * weight, BUCKETS).astype(np.float32)
+                s += step**2
+                v -= rate * step / np.sqrt(s)
             seen[1] += (g := docs.T @ error) ** 2
             seen[2] += (h := error.sum(axis=0)) ** 2
-            vectors[slots] -= rate * step / np.sqrt(seen[0][slots])
             outputs -= rate * g / np.sqrt(seen[1])
             offsets -= rate * h / np.sqrt(seen[2])
-    return (vectors @ (outputs[:, 1] - outputs[:, 0])).astype(np.float32), float(offsets[1] - offsets[0])
+    return ((outputs[:, 1] - outputs[:, 0]) @ vectors).astype(np.float32), float(offsets[1] - offsets[0])
 
 
 class Scorer:
@@ -117,25 +130,30 @@ class Scorer:
     def __init__(self, buckets: np.ndarray, offset: float):
         self.buckets, self.offset, self.cache = buckets, offset, {}
 
-    def word(self, raw: str) -> float:
-        """The word's mean, or not a number for punctuation."""
-        clean = raw.strip(PUNCTUATION)
-        return float(self.buckets[subwords(clean)].mean()) if clean else float("nan")
-
-    def score(self, text: str) -> float:
+    def learn(self, new: list[str]) -> None:
+        """Put the words' means into the table, not a number for punctuation."""
+        for at in range(0, len(new), NEW_WORDS):
+            raw = new[at : at + NEW_WORDS]
+            clean = [w.strip(PUNCTUATION) for w in raw]
+            index, owner = subwords(clean)
+            n = len(raw)
+            means = np.bincount(owner, self.buckets[index], n) / np.bincount(owner, minlength=n)
+            means[[not w for w in clean]] = np.nan
+            self.cache.update(zip(raw, means.tolist(), strict=True))
+
+    def scores(self, texts: list[str]) -> list[float]:
+        """Scores of texts that are held in memory together."""
+        split = [t.lower().split() for t in texts]
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        cache, words = self.cache, text.lower().split()
-        values = list(map(cache.get, words))
-        if None in values:
-            for i, v in enumerate(values):
-                if v is None:
-                    word = words[i]
-                    values[i] = cache[word] = cache[word] if word in cache else self.word(word)
-        values = np.array(values)
-        values = values[~np.isnan(values)] if len(values) else values
-        odds = self.offset + (SCALE * float(values.sum()) / (len(values) + PRIOR_WORDS) if len(values) else 0.0)
-        return 1.0 / (1.0 + float(np.exp(-np.clip(odds, -60, 60))))
+        self.learn(sorted(set().union(*split).difference(self.cache)))
+        out = []
+        for words in split:
+            values = np.fromiter(map(self.cache.__getitem__, words), float, len(words))
+            values = values[~np.isnan(values)]
+            odds = self.offset + (SCALE * float(values.sum()) / (len(values) + PRIOR_WORDS) if len(values) else 0.0)
+            out.append(1.0 / (1.0 + float(np.exp(-np.clip(odds, -60, 60)))))
+        return out
 
 
 def sampled(known: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -169,7 +187,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(*sent.value)
         for batch in batches:
-            s = np.array([scorer.score(t) for t in batch["text"]], float)
+            texts = batch["text"].tolist()
+            s = np.array([x for at in range(0, len(texts), TEXTS) for x in scorer.scores(texts[at : at + TEXTS])], float)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": s, "predicted": (s >= 0.5).astype(np.int32)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
