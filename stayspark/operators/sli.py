@@ -15,13 +15,15 @@ from stayspark.functions.columns import ceil_micros
 from stayspark.functions.skew import segmented_lag, segmented_running_sum
 
 SECOND = 1_000_000
-# Fixed values of the model: objectives (bound on the ratio, hold seconds) and gauge bounds.
-SLOS = {
-    "latency": (0.99, 120),
-    "cpu": (0.95, 60),
-    "heap": (0.99, 120),
-    "kafka_lag": (0.99, 60),
-    "eviction": (0.99, 60),
+# Fixed values of the model: the service alerts (side of the bound that is bad, bound, hold seconds,
+# severity) and the bounds of the gauges behind three of them.
+SERVICE_ALERTS = {
+    "latency": ("below", 0.99, 120, "warning"),
+    "cpu": ("below", 0.95, 60, "warning"),
+    "heap": ("below", 0.99, 120, "warning"),
+    "kafka_lag": ("below", 0.99, 60, "warning"),
+    "eviction": ("below", 0.99, 60, "warning"),
+    "deadlock": ("above", 0.0, 30, "info"),
 }
 GAUGE_BOUNDS = {"cpu": 0.80, "heap": 0.85, "kafka_lag": 100.0}
 FAST_MS = 500
@@ -134,7 +136,26 @@ def quiet_share(
     return share_of_time(rates, keys, F.col("rate") <= 0, window_s, step_s)
 
 
-def alerts(steps: DataFrame, keys: list[str], condition: Column, hold_s: int, step_s: int = 15):
+def by_name(name: str, values: dict) -> Column:
+    """The value that belongs to a name, null for other names."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col(name))
+
+
+def service_alerts(
+    indicators: DataFrame, keys: list[str], step_s: int = 15, rules: dict[str, tuple] = SERVICE_ALERTS
+) -> DataFrame:
+    """(keys, sli, step, since, state, severity) of every rule from (keys, sli, step, value), in one pass.
+
+    An indicator without a rule or without a value is never in alert.
+    """
+    side, bound, hold, severity = (by_name("sli", {k: r[i] for k, r in rules.items()}) for i in range(4))
+    bad = F.when(side == "above", F.col("value") > bound).otherwise(F.col("value") < bound)
+    return alerts(indicators, [*keys, "sli"], bad, hold, step_s).withColumn("severity", severity)
+
+
+def alerts(
+    steps: DataFrame, keys: list[str], condition: Column, hold_s: int | Column, step_s: int = 15
+) -> DataFrame:
     """(keys, step, since, state) while a condition holds: pending, then firing after ``hold_s``.
 
     A step without data ends the episode.

@@ -14,6 +14,8 @@ from stayspark.plans.registry import Registry
 from stayspark.sources.views import Views
 
 STEP, WINDOW = 3600, 21600
+#: Readings of three gauges as shares of the latency.
+GAUGE_SCALES = {"cpu": 0.01, "heap": 0.02, "kafka_lag": 1.0}
 BOUNDS = (5.0, 20.0, 50.0, 100.0)
 
 
@@ -56,6 +58,19 @@ REG = Registry(
             select uri, step, case when "value" < 20 then 1.0 else 0.0 end good from (
               select uri, {_grid('ts')} step, arg_max(latency_ms, (ts, event_id)) "value"
               from requests group by 1, 2) g""",
+        "service_gauges": f"""
+            select uri, sli, step, case when "value" * scale < bound then 1.0 else 0.0 end good from (
+              select uri, {_grid('ts')} step, arg_max(latency_ms, (ts, event_id)) "value" from requests group by 1, 2) g,
+              (values ('cpu', 0.01e0, 0.8e0), ('heap', 0.02e0, 0.85e0), ('kafka_lag', 1e0, 100e0)) s(sli, scale, bound)""",
+        "service_gauge_sums": _trailing("uri, sli", "service_gauges", "sum(b.good) g, count(*) n"),
+        "indicators": """
+            select uri, 'latency' sli, step, latency_sli "value" from slis
+            union all select uri, sli, step, g / n from service_gauge_sums
+            union all
+            select a.uri, 'eviction', a.step, avg(case when b.rate <= 0 then 1.0 else 0.0 end)
+            from short_rates a join short_rates b on b.uri = a.uri and b.step <= a.step
+              and b.step > a.step - 21600000000 group by a.uri, a.step
+            union all select uri, 'deadlock', step, rate from rates""",
         "bucket_log": f"""
             select uri, le, ts, event_id, sum(case when latency_ms <= bound then 1 else 0 end)
               over (partition by cast(ts as date), uri, le order by ts, event_id) "value"
@@ -171,6 +186,34 @@ def _(v: Views):
     return sli.alerts(ratios, ["uri"], F.col("latency_sli") < 0.5, 2 * STEP, STEP)
 
 
+@query("sli6_service_alerts", f"""
+    select uri, sli, step, since, case when step - since >= hold * 1000000 then 'firing' else 'pending' end state, severity
+    from (select *, min(step) over (partition by uri, sli, island) since from (
+      select *, sum(begins) over (partition by uri, sli order by step) island from (
+        select *, case when bad and coalesce(lag(bad) over w, false)
+                            and step - lag(step) over w <= {STEP * 1_000_000} then 0 else 1 end begins
+        from (select i.*, hold, severity, case when upper then "value" > bound else "value" < bound end bad
+              from indicators i join (values ('latency', false, 0.99e0, 120, 'warning'), ('cpu', false, 0.95e0, 60, 'warning'),
+                ('heap', false, 0.99e0, 120, 'warning'), ('kafka_lag', false, 0.99e0, 60, 'warning'),
+                ('eviction', false, 0.99e0, 60, 'warning'), ('deadlock', true, 0e0, 30, 'info'))
+                r(sli, upper, bound, hold, severity) on r.sli = i.sli) x
+        window w as (partition by uri, sli order by step)) f) g where bad) h""")
+def _(v: Views):
+    """The six service alerts per address."""
+    latency = sli.request_ratios(v.requests(), ["uri"], WINDOW, STEP, 20)
+    last = sli.resample(v.requests().withColumnRenamed("latency_ms", "value"), ["uri"], STEP, "event_id")
+    each = F.explode(F.array(*[F.struct(F.lit(g).alias("sli"), (F.col("value") * s).alias("value")) for g, s in GAUGE_SCALES.items()]))
+    gauges = last.select("uri", "step", each.alias("g")).select("uri", "step", "g.*")
+    gauges = sli.share_of_time(gauges, ["uri", "sli"], F.col("value") < sli.by_name("sli", sli.GAUGE_BOUNDS), WINDOW, STEP)
+    quiet = sli.quiet_share(counters(v), ["uri"], order(), 2 * STEP, WINDOW, STEP)
+    moving = sli.rate(counters(v), ["uri"], order(), WINDOW, STEP)
+    indicators = latency.select("uri", F.lit("latency").alias("sli"), "step", F.col("latency_sli").alias("value"))
+    indicators = indicators.unionByName(gauges.withColumnRenamed("good_share", "value"))
+    indicators = indicators.unionByName(quiet.select("uri", F.lit("eviction").alias("sli"), "step", F.col("good_share").alias("value")))
+    indicators = indicators.unionByName(moving.select("uri", F.lit("deadlock").alias("sli"), "step", F.col("rate").alias("value")))
+    return sli.service_alerts(indicators, ["uri"], STEP)
+
+
 @query("sli7_histogram_quantile", """
     select uri, step, round(case when bound = 'Infinity'::double then low
              when rate > below then low + (bound - low) * (0.99 * total - below) / (rate - below)

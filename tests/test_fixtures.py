@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stayspark.functions.columns import enum_or_null, iso_date_or_null, name_uuid
 from stayspark.functions.vector import cosine, preview
-from stayspark.operators import access, aggs, events, filters, joins, jobs, ranking, search, settlement, vectors
+from stayspark.operators import access, aggs, events, filters, joins, jobs, ranking, search, settlement, sli, vectors
 from stayspark.schemas import ROOM_TYPES
 
 TODAY = date(2026, 1, 1)
@@ -363,3 +363,28 @@ def test_pages(spark):
     info = ranking.page_info(df, 9, 500).first()
     assert (info.page_size, info.total_pages, info["last"]) == (50, 1, True)
     assert [r.id for r in ranking.page_after(df, 3, [("id", 10)]).collect()] == [11, 12, 13]
+
+
+def test_service_alerts_by_rule(spark):
+    """Each rule has its own side, bound and hold; a gap ends an episode, a null value or unknown name is quiet."""
+    second = sli.SECOND
+    rows = [
+        *[("a", "latency", t * second, v) for t, v in ((0, 0.98), (60, 0.5), (120, 0.9), (180, 0.99), (240, 0.1))],
+        *[("a", "cpu", t * second, v) for t, v in ((0, 0.96), (60, 0.94), (120, 0.0), (240, 0.0))],
+        *[("a", "deadlock", t * second, v) for t, v in ((0, 0.0), (60, 0.1), (120, 2.0))],
+        ("a", "heap", 0, None),
+        ("a", "other", 0, 0.0),
+    ]
+    steps = spark.createDataFrame(rows, "uri string, sli string, step bigint, value double")
+    got = {(r.sli, r.step // second, r.since // second, r.state, r.severity) for r in sli.service_alerts(steps, ["uri"], 60).collect()}
+    assert got == {
+        ("latency", 0, 0, "pending", "warning"),
+        ("latency", 60, 0, "pending", "warning"),
+        ("latency", 120, 0, "firing", "warning"),
+        ("latency", 240, 240, "pending", "warning"),
+        ("cpu", 60, 60, "pending", "warning"),
+        ("cpu", 120, 60, "firing", "warning"),
+        ("cpu", 240, 240, "pending", "warning"),
+        ("deadlock", 60, 60, "pending", "info"),
+        ("deadlock", 120, 60, "firing", "info"),
+    }
