@@ -41,19 +41,27 @@ CODE_BITS = 15
 SMALL_GROUP = 6
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """Majority bits of the XXH64 of all word shingles of a text, unsigned."""
+def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of all word shingles of a text, unsigned; a shorter text is one shingle, one without words has none."""
     from xxhash import xxh64_intdigest
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = (ends - [len(w) + 1 for w in words])[:n].tolist()
     stops = (ends - 1)[min(shingle, len(words)) - 1 :].tolist()
-    hashes = np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
+    return np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
+
+
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    """Majority bits of the XXH64 of all word shingles of a text, unsigned."""
+    hashes = shingle_hashes(text, shingle)
+    n = len(hashes)
+    if not n:
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, n, 8192):
         block = hashes[at : at + 8192].view(np.uint8).reshape(-1, 8)
@@ -210,6 +218,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, tie, component_id) per row."""
+    if max_bits > MAX_BITS:
+        raise ValueError(f"the code covers {MAX_BITS} bits, not {max_bits}")
     rows = written(fingerprints(docs), "fingerprints")
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(links(distinct, max_bits))
