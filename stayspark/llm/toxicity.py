@@ -7,7 +7,8 @@ never seen shares most of these. A document is the mean of its words and of
 go through a softmax. Vectors and outputs are learned together by Adagrad on the log loss.
 
 Training takes a bounded sample of labelled rows: all of a class up to about ``SAMPLE`` rows, beyond that those
-with the least hashes of the id. It runs in one task; scoring runs everywhere with the model (two megabytes)
+with the least hashes of the id. The sample changes the ratio of the classes, so each row learned from weighs as
+many labelled rows as its class has for each one sampled; offset and threshold hold for the ratio of all labelled rows. It runs in one task; scoring runs everywhere with the model (two megabytes)
 broadcast. Labels, language, source and id are never inputs of a score.
 
 Null and empty texts, and texts of punctuation only, get the score that the offsets alone give. Without
@@ -86,9 +87,11 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return places.astype(np.int64), np.bincount(where, of_word[owner]).astype(np.float32)
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
-    """(score of each bucket, offset): the log-odds of a text are SCALE times the mean of its words' means."""
-    positive = float(labels.mean()) if len(labels) else 0.0
+def train(texts: list[str], labels: np.ndarray, weights: np.ndarray | None = None, seed: int = 7) -> tuple[np.ndarray, float]:
+    """(score of each bucket, offset): the log-odds of a text are SCALE times the mean of its words' means.
+    ``weights`` are the rows that each text stands for, one each if not given."""
+    weights = np.ones(len(labels)) if weights is None or not len(weights) else weights / weights.mean()
+    positive = float(np.average(labels, weights=weights)) if len(labels) else 0.0
     if positive in (0.0, 1.0):
         return np.zeros(BUCKETS, np.float32), 60.0 * (2 * positive - 1)
     bags = [bag(t) for t in texts]
@@ -98,6 +101,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
     offsets = np.log(np.array([1 - positive, positive], np.float32))
     seen = [np.full_like(a, 1e-6) for a in (vectors, outputs, offsets)]
     target = np.stack([1 - labels, labels], axis=1).astype(np.float32)
+    heavy = weights.astype(np.float32)[:, None]
     epochs = max(EPOCHS, -(-BATCHES * BATCH // len(bags)))
     for epoch in range(epochs):
         rate = RATE * (1 - epoch / epochs)
@@ -111,7 +115,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarr
             logits = docs @ outputs + offsets
             logits -= logits.max(axis=1, keepdims=True)
             p = np.exp(logits)
-            error = (p / p.sum(axis=1, keepdims=True) - target[rows]) / len(rows)
+            error = (p / p.sum(axis=1, keepdims=True) - target[rows]) * heavy[rows] / len(rows)
             back = error @ outputs.T * SCALE
             for v, s, of_doc in zip(vectors, seen[0], back.T, strict=True):
                 step = np.bincount(index, of_doc[owner] * weight, BUCKETS).astype(np.float32)
@@ -157,21 +161,31 @@ class Scorer:
 
 
 def sampled(known: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """About ``sample`` rows of each class of (doc_id, toxic), by the hash of the id; this bounds its size."""
+    """About ``sample`` rows of each class of (doc_id, toxic), by the hash of the id, with the rows of its class
+    that each stands for."""
     sizes = known.groupBy("toxic").agg(F.count(F.lit(1)).alias("class_rows"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return known.join(F.broadcast(sizes), "toxic").where(place * F.col("class_rows") < sample).select("doc_id", "toxic")
+    taken = known.join(F.broadcast(sizes), "toxic").where(place * F.col("class_rows") < sample)
+    weights = taken.groupBy("toxic").agg((F.first("class_rows") / F.count(F.lit(1))).alias("stands_for"))
+    return taken.join(F.broadcast(weights), "toxic").select("doc_id", "toxic", "stands_for")
 
 
 def fit(docs: DataFrame, known: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Model of documents and their (doc_id, toxic) rows. The sampled ids are sent to the documents, so
-    that no text is moved but those learned from."""
-    chosen = docs.select("doc_id", whole().alias("text")).join(F.broadcast(sampled(known, sample)), "doc_id")
-    chosen = chosen.select(F.lit(0).alias("one"), "doc_id", "text", "toxic")
+    that no text is moved but those learned from. Where many documents share an id, about ``2 * sample`` of a
+    class are learned from, and stand for the others."""
+    ids = sampled(known, sample)
+    labelled = docs.select("doc_id").join(F.broadcast(ids), "doc_id").groupBy("toxic").agg(F.count(F.lit(1)).alias("found_rows"))
+    chosen = docs.select("doc_id", whole().alias("text"), F.monotonically_increasing_id().alias("row"))
+    chosen = chosen.join(F.broadcast(ids), "doc_id").join(F.broadcast(labelled), "toxic")
+    place = F.pmod(F.xxhash64("doc_id", "text", "row"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = chosen.where(place * F.col("found_rows") < 2 * sample)
+    chosen = chosen.select(F.lit(0).alias("one"), "doc_id", "text", "toxic", "stands_for", "found_rows")
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "text", "toxic"])
-        buckets, offset = train(group["text"].tolist(), group["toxic"].to_numpy(np.float32))
+        weights = group["stands_for"] * group["found_rows"] / group.groupby("toxic")["toxic"].transform("size")
+        buckets, offset = train(group["text"].tolist(), group["toxic"].to_numpy(np.float32), weights.to_numpy(float))
         return pd.DataFrame({"buckets": [buckets.tobytes()], "offset": [offset]})
 
     row = chosen.groupBy("one").applyInPandas(learn, "buckets binary, offset double").first()
