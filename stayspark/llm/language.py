@@ -3,8 +3,8 @@
 A text is lower-cased, everything but letters becomes one space, and its runs of one to three characters are
 counted in ``BUCKETS`` hashed places. The vector is the logarithm of 1 + count times the inverse document
 frequency, of unit length. Document frequencies are counted over all documents that may be learned from.
-Centroids come from a bounded sample, about ``SAMPLE`` documents of each language, by spherical k-means with
-``CENTROIDS`` centres. A document gets the language of the centroid with the greatest cosine. It is rejected,
+Centroids come from a bounded sample, about ``SAMPLE`` documents of each language with the least hashes of id and
+text, rows equal in both taken once, by spherical k-means with ``CENTROIDS`` centres. A document gets the language of the centroid with the greatest cosine. It is rejected,
 as in none of the languages, if that cosine is below ``MARGIN`` times the 1 % quantile that the language's own
 sample has.
 
@@ -115,9 +115,12 @@ def fit(learn: DataFrame, sample: int = SAMPLE) -> Model:
     table = {r["bucket"]: r["n"] for r in df.collect()}  # one row per bucket
     idf = np.log((1 + table.get(-1, 0)) / (1 + np.array([table.get(b, 0) for b in range(BUCKETS)]))).astype(np.float32) + np.float32(0.1)
 
-    sizes = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("lang_rows"))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = learn.select("doc_id", "text", "lang").join(F.broadcast(sizes), "lang").where(place * F.col("lang_rows") < sample)
+    # By id and text, so that rows of one id are spread, and equal rows are one, so that none fills the sample.
+    placed = learn.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("place"))
+    sizes = placed.groupBy("lang").agg(F.approx_count_distinct("place", 0.02).alias("lang_rows"))
+    share = F.pmod("place", F.lit(1 << 30)) / float(1 << 30)
+    chosen = placed.join(F.broadcast(sizes), "lang").where(share * F.col("lang_rows") < sample)
+    chosen = chosen.select("doc_id", "text", "lang").dropDuplicates()
 
     def centroids(group: pd.DataFrame) -> pd.DataFrame:
         x, _ = vectors(group.sort_values(["doc_id", "text"])["text"].tolist(), idf)

@@ -7,7 +7,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from stayspark.llm import toxicity
+from stayspark.llm import language, toxicity
 from test_learned import SCHEMA, labelled
 
 
@@ -36,3 +36,12 @@ def test_documents_of_one_sampled_id_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "train", lambda texts, y, w: (np.zeros(1, np.float32), float(len(texts)) + w.sum() / 1e6))
     learned = toxicity.fit(many, known, 200)[1]
     assert 300 < int(learned) < 520 and abs((learned % 1) * 1e6 - 4100) < 1
+
+
+def test_language_sample_is_bounded_for_null_and_equal_ids(spark, monkeypatch):
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    rows = [(None, f"the cat {word(i)}", "en") for i in range(3000)] + [(None, "the dog", "en")] * 1500 + [(8, f"der hund {word(i)}", "de") for i in range(3000)]
+    # The floor tells how many rows the centroids were fitted on.
+    monkeypatch.setattr(language, "cluster", lambda x, k: (x[:1], float(len(x))))
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), 300)
+    assert model.names == ["de", "en"] and all(200 < n < 400 for n in model.floors)
