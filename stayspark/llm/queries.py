@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayspark.llm import digest, html_text, language, line_dedup, mixing, packing, pii, quality, simhash, toxicity
+from stayspark.llm import centroids, digest, html_text, language, line_dedup, mixing, negatives, packing, pii, quality, simhash, top_k, toxicity
 from stayspark.llm.common import table
 
 
@@ -66,6 +66,18 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
 
 
+def op11_pivot_distance(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k.top_k(table(spark, folder, "embeddings"))
+
+
+def op12_threshold_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii": op2_pii,
@@ -77,5 +89,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_language": op9_language,
     "op10_html_text": op10_html_text,
+    "op11_pivot_distance": op11_pivot_distance,
+    "op12_threshold_centroids": op12_threshold_centroids,
+    "op13_hard_negatives": op13_hard_negatives,
+}
+ORACLES: dict[str, str] = {
+    "op6_mixing": mixing.ORACLE,
+    "op11_pivot_distance": top_k.ORACLE,
+    "op12_threshold_centroids": centroids.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
 }
-ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE}
