@@ -12,7 +12,7 @@ Search: by the triangle inequality a vector at distance r from a pivot is at lea
 sorts the annuli by that bound and expands them in rounds, eight times as many each round; it stops as soon as the next
 annulus cannot hold a product as great as its k-th best. Bounds leave room for rounding, scores are exact integers.
 
-In a round, requested cells meet the queries that ask for them: queries in stripes of ``STRIPE`` rows, one group per (cell,
+In a round, requested cells meet the queries that ask for them: queries in stripes of ``STRIPE`` neighbours, one group per (cell,
 stripe), so that neither many queries nor many equal vectors meet in one task without bound. Driver and closures hold the
 pivots, at most ``PIVOTS * BUCKETS`` counts and at most ``PIVOTS * RINGS`` annuli.
 
@@ -158,6 +158,18 @@ def _annuli(counted: list[tuple]) -> tuple[np.ndarray, np.ndarray, list[tuple[in
     return np.array([a[:3] for a in annuli], np.float64), cells, places
 
 
+def _stripes(counted: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """(pivot, bucket, first stripe, stripes): queries of neighbouring buckets share stripes of ``STRIPE`` rows, on average at most."""
+    out, stripe, held = [], 0, 0
+    for pivot, bucket, n in counted:
+        if held and held + n > STRIPE:
+            stripe, held = stripe + 1, 0
+        parts = -(-n // STRIPE)
+        out.append((pivot, bucket, stripe, parts))
+        stripe, held = stripe + parts - 1, held + n if parts == 1 else STRIPE
+    return out
+
+
 def bounds(index: Index, asked: np.ndarray) -> np.ndarray:
     """Per query and annulus a number that no product with a vector of the annulus exceeds."""
     asked = asked.astype(np.float64)
@@ -174,18 +186,19 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
 
     ``query`` numbers the rows of ``queries`` (a part of the index's rows); ``own`` is a query's product with itself.
     """
-    numbered = queries.orderBy("pivot", "radius").select(F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"), "v")
+    spark, cells = queries.sparkSession, index.cells
+    place = lambda table: F.broadcast(spark.createDataFrame(table, "pivot int, bucket int, first int, parts int"))
+    part = F.col("first") + F.pmod(F.monotonically_increasing_id(), F.col("parts"))
+    # At most PIVOTS * BUCKETS rows each.
+    counted = sorted(map(tuple, queries.groupBy("pivot", "bucket").agg(F.count(F.lit(1))).collect()))
+    dealt = queries.join(place(_stripes(counted)), ["pivot", "bucket"])
+    numbered = dealt.select(F.monotonically_increasing_id().alias("query"), part.alias("stripe"), F.col("vec_id").alias("query_id"), "v")
     questions = written(numbered, "top-k-queries")
-    spark = queries.sparkSession
-    pivots_of, cells = np.array([a[0] for a in index.annuli]), index.cells
-    table = [(int(p), int(b), int(cells[a][0]), int(cells[a][1])) for p, b, a in index.places]
-    first_cell = F.broadcast(spark.createDataFrame(table, "pivot int, bucket int, first int, parts int"))
-    store = index.rows.join(first_cell, ["pivot", "bucket"]).select(
-        (F.col("first") + F.pmod(F.monotonically_increasing_id(), F.col("parts"))).cast("int").alias("cell"), "vec_id", "v"
-    )
+    kept = index.rows.join(place([(p, b, int(cells[a][0]), int(cells[a][1])) for p, b, a in index.places]), ["pivot", "bucket"])
+    store = kept.select(part.cast("int").alias("cell"), "vec_id", "v")
     light = Index(None, index.pivots, index.top, index.annuli, cells, [])
     best, begin, count = None, 0, FIRST_ANNULI
-    while begin < len(pivots_of):
+    while begin < len(index.annuli):
         state = questions.withColumn("least", F.lit(LEAST)) if best is None else _with_least(questions, best, k)
         asked = written(state.mapInArrow(_expansion(light, begin, begin + count), "cell int, stripe long, query long, least long, v array<bigint>"), "top-k-asked")
         if asked.isEmpty():
@@ -207,11 +220,10 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
 
 
 def _with_least(questions: DataFrame, best: DataFrame, k: int) -> DataFrame:
-    """The queries in order, with the least score that still matters: the k-th best, none before there are k."""
+    """The queries with the least score that still matters: the k-th best, none before there are k."""
     least = best.groupBy("query").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
     least = least.select("query", F.when(F.col("n") >= k, F.col("least")).otherwise(F.lit(LEAST)).alias("least"))
-    joined = questions.join(least, "query", "left").withColumn("least", F.coalesce("least", F.lit(LEAST)))
-    return joined.repartitionByRange("query").sortWithinPartitions("query").select("query", "query_id", "v", "least")
+    return questions.join(least, "query", "left").withColumn("least", F.coalesce("least", F.lit(LEAST)))
 
 
 def _expansion(index: Index, begin: int, end: int):
@@ -219,8 +231,8 @@ def _expansion(index: Index, begin: int, end: int):
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, STRIPE):
-                batch = whole.slice(at, STRIPE)
+            for at in range(0, whole.num_rows, TILE):
+                batch = whole.slice(at, TILE)
                 limit = bounds(index, matrix(batch.column("v")))
                 order = np.argsort(-limit, axis=1, kind="stable")[:, begin:end]
                 reach = np.take_along_axis(limit, order, axis=1)
@@ -231,14 +243,10 @@ def _expansion(index: Index, begin: int, end: int):
                 rows = np.repeat(rows, parts)
                 within = np.arange(len(rows)) - np.repeat(np.cumsum(parts) - parts, parts)
                 cell = np.repeat(index.cells[annulus, 0], parts) + within
-                query = batch.column("query")
                 for part in range(0, len(rows), 8192):
                     some = pa.array(rows[part : part + 8192])
-                    columns = [
-                        pa.array(cell[part : part + 8192].astype(np.int32)),
-                        pa.array(np.full(len(some), query[0].as_py(), np.int64)),
-                        *[batch.column(c).take(some) for c in ("query", "least", "v")],
-                    ]
+                    columns = [pa.array(cell[part : part + 8192].astype(np.int32))]
+                    columns += [batch.column(c).take(some) for c in ("stripe", "query", "least", "v")]
                     yield pa.RecordBatch.from_arrays(columns, ["cell", "stripe", "query", "least", "v"])
 
     return expand
