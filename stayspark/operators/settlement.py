@@ -173,21 +173,21 @@ def _sold_out_at_turn(refused: DataFrame, accepted: DataFrame, inventory: DataFr
 
 # ---- logs that also cancel -------------------------------------------------------------------
 def settle_with_cancels(
-    requests: DataFrame,
-    cancels: DataFrame,
-    inventory: DataFrame,
-    native_rounds: int = 4,
-    max_group_rows: int = 200_000,
+    requests: DataFrame, cancels: DataFrame, inventory: DataFrame, users: DataFrame, hotels: DataFrame
 ) -> DataFrame:
     """Settle a log of create and cancel requests: (request columns, cancelled_at, outcome).
 
     ``cancels`` holds (booking_id, requested_at). A cancel frees the nights of an accepted stay for
-    later turns; repeated cancels and cancels before the create change nothing. Occupancy is a
-    running total over starts and ends, cut into days so that a crowded night is scanned in parts.
-
-    Each cancel-and-rebook chain costs rounds. After ``native_rounds`` the rest is finished group
-    by group in order, provided every (hotel, room type) left has at most ``max_group_rows`` rows;
-    larger groups stay with the rounds.
+    later turns; repeated cancels, cancels before the create and cancels of stays that were never
+    accepted change nothing. Outcomes are those of ``settle`` and CANCELLED.
+
+    Starts and ends are events of a night. Every round takes two running totals along a night's
+    events, cut into days so that a crowded night is scanned in parts: the guests that are certainly
+    inside, and those that are possibly inside, counting the undecided as if they were accepted. A
+    stay is rejected where a night is certainly full at its turn, and accepted where no night can be
+    full. Both verdicts are final and leave the undecided; accepted stays become events of a ledger,
+    of which only nights that somebody still waits for are kept, summed up to the first turn that
+    waits. The earliest undecided turn always gets a verdict, so the rounds end with the sequential answer.
     """
     ends = (
         cancels.withColumnRenamed("booking_id", "id")
@@ -196,27 +196,26 @@ def settle_with_cancels(
         .groupBy("id")
         .agg(F.min("requested_at").alias("cancelled_at"))
     )
-    timed = requests.withColumn("ts", F.unix_micros("created_at")).join(ends, "id", "left")
-    timed = timed.withColumn("end_ts", F.unix_micros("cancelled_at"))
-    dates_ok = F.col("check_out") > F.col("check_in")
-    payable = timed.filter(dates_ok & ~declined(F.col("payment_token")))
+    checked = validate(requests, users, hotels).withColumn("ts", F.unix_micros("created_at"))
+    timed = checked.join(ends, "id", "left").withColumn("end_ts", F.unix_micros("cancelled_at"))
+    valid = timed.filter("reject_reason is null")
+    payable = valid.filter(~declined(F.col("payment_token")))
     contested, hopeless = _contested_nights(payable, inventory)
-    state = cut_lineage(contested.withColumn("accepted", F.lit(False)))
-    lost = state.select("id").distinct()
-    rounds = 0
-    while not state.filter(~F.col("accepted")).isEmpty():
-        if rounds >= native_rounds and _largest_group(state) <= max_group_rows:
-            state = cut_lineage(_finish_in_order(state))
-            break
-        state = cut_lineage(_settle_cancel_round(state))
-        rounds += 1
-    unavailable = (
-        lost.join(state.filter("accepted").select("id").distinct(), "id", "left_anti")
-        .unionByName(hopeless)
-        .withColumn("_unavailable", F.lit(True))
+    undecided, ledger = cut_lineage(contested), None
+    lost = hopeless
+    while not undecided.isEmpty():
+        verdicts = cut_lineage(_verdicts(undecided, ledger))
+        lost = lost.unionByName(verdicts.filter("lost").select("id"))
+        won = undecided.join(verdicts.filter("won").select("id"), "id", "left_semi")
+        undecided = cut_lineage(undecided.join(verdicts.select("id"), "id", "left_anti"))
+        ledger = cut_lineage(_compacted(_events(won), ledger, undecided))
+    accepted = payable.join(lost, "id", "left_anti")
+    refused = valid.filter(declined(F.col("payment_token")))
+    unavailable = lost.unionByName(_full_at_turn(refused, accepted, inventory)).withColumn(
+        "_unavailable", F.lit(True)
     )
     outcome = (
-        F.when(~dates_ok, "INVALID_DATES")
+        F.when(F.col("reject_reason").isNotNull(), F.col("reject_reason"))
         .when(F.col("_unavailable").isNotNull(), "NOT_AVAILABLE")
         .when(declined(F.col("payment_token")), "PAYMENT_DECLINED")
         .when(F.col("cancelled_at").isNotNull(), "CANCELLED")
@@ -227,81 +226,66 @@ def settle_with_cancels(
     )
 
 
-def _largest_group(state: DataFrame) -> int:
-    sizes = state.groupBy("hotel_id", "room_type").agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n").alias("n")).first()["n"] or 0
+_EVENT = [*CELL, "at", "seq", "delta"]
 
 
-_STATE = ["id", "ts", "end_ts", *CELL, "capacity", "k", "accepted"]
+def _events(nights: DataFrame) -> DataFrame:
+    """Starts and ends of stay nights; at one instant a create (2 id) comes before its cancel (2 id + 1)."""
+    starts = nights.select(*CELL, F.col("ts").alias("at"), (F.col("id") * 2).alias("seq"), F.lit(1).alias("delta"))
+    stops = nights.filter("end_ts is not null").select(
+        *CELL, F.col("end_ts").alias("at"), (F.col("id") * 2 + 1).alias("seq"), F.lit(-1).alias("delta")
+    )
+    return starts.unionByName(stops)
 
 
-def _settle_cancel_round(state: DataFrame) -> DataFrame:
-    # Turn of a create is (ts, 2 id), of a cancel (ts, 2 id + 1).
-    starts = state.select(
-        *_STATE, F.col("ts").alias("at"), (F.col("id") * 2).alias("seq"), F.lit(1).alias("delta")
-    )
-    stops = state.filter("end_ts is not null").select(
-        *_STATE, F.col("end_ts").alias("at"), (F.col("id") * 2 + 1).alias("seq"), F.lit(-1).alias("delta")
+def _occupancy(events: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Running totals before each event of a night, cut into days."""
+    day = F.floor(F.col("at") / F.lit(DAY_MICROS))
+    return segmented_running_sum(events, CELL, [F.asc("at"), F.asc("seq")], day, values, include_current=False)
+
+
+def _verdicts(undecided: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """(id, lost, won) of the stays that get a verdict in this round."""
+    events = _events(undecided).withColumn("sure", F.lit(False))
+    if ledger is not None:
+        events = events.unionByName(ledger.withColumn("sure", F.lit(True)))
+    certain = F.when(F.col("sure"), F.col("delta")).otherwise(F.lit(0))
+    seen = _occupancy(events, {"possible": F.col("delta"), "certain": certain})
+    turns = seen.filter("delta = 1 and not sure").select(
+        (F.col("seq") / 2).cast("long").alias("id"), *CELL, "possible", "certain"
     )
-    sure = F.when(F.col("accepted"), F.col("delta")).otherwise(F.lit(0))
-    counted = segmented_running_sum(
-        starts.unionByName(stops),
-        CELL,
-        [F.asc("at"), F.asc("seq")],
-        F.floor(F.col("at") / F.lit(DAY_MICROS)),
-        {"possible": F.col("delta"), "certain": sure},
-        include_current=False,
-    ).filter("delta = 1")
-    verdicts = (
-        counted.filter("not accepted")
-        .groupBy("id")
-        .agg(
-            F.max(F.col("certain") >= F.col("capacity")).alias("_lost"),
-            F.min(F.col("possible") < F.col("capacity")).alias("_won"),
-        )
+    rooms = undecided.select("id", *CELL, "capacity")
+    judged = turns.join(rooms, ["id", *CELL]).groupBy("id").agg(
+        F.max(F.col("certain") >= F.col("capacity")).alias("lost"),
+        F.min(F.col("possible") < F.col("capacity")).alias("won"),
     )
+    return judged.filter("lost or won")
+
+
+def _compacted(new: DataFrame, ledger: DataFrame | None, undecided: DataFrame) -> DataFrame:
+    """Ledger events of the nights somebody waits for; those before the first waiting turn as one sum."""
+    events = new if ledger is None else new.unionByName(ledger)
+    waiting = undecided.groupBy(*CELL).agg(F.min("ts").alias("first"))
+    kept = events.join(waiting, CELL)
+    past = F.col("at") < F.col("first")
+    at = F.when(past, F.col("first") - 1).otherwise(F.col("at"))
+    seq = F.when(past, F.lit(-1)).otherwise(F.col("seq"))
+    summed = kept.groupBy(*CELL, at.alias("at"), seq.alias("seq")).agg(F.sum("delta").cast("int").alias("delta"))
+    return summed.filter("delta <> 0").select(*_EVENT)
+
+
+def _full_at_turn(refused: DataFrame, accepted: DataFrame, inventory: DataFrame) -> DataFrame:
+    """Ids of declined requests with a night that was full, or not configured, at their turn."""
+    asked = explode_nights(refused).select("id", "ts", *CELL)
+    guests = explode_nights(accepted).select("id", "ts", "end_ts", *CELL)
+    guests = _events(guests.join(asked.select(*CELL).distinct(), CELL, "left_semi"))
+    probes = asked.select(*CELL, F.col("ts").alias("at"), (F.col("id") * 2).alias("seq"), F.lit(0).alias("delta"))
+    seen = _occupancy(guests.unionByName(probes), {"inside": F.col("delta")}).filter("delta = 0")
+    no_room = F.col("capacity").isNull() | (F.col("inside") >= F.col("capacity"))
     return (
-        state.join(verdicts, "id", "left")
-        .filter("_lost is null or not _lost")
-        .withColumn("accepted", F.col("accepted") | F.coalesce("_won", F.lit(False)))
-        .select(*_STATE)
-    )
-
-
-def _finish_in_order(state: DataFrame) -> DataFrame:
-    """Exact sequential pass over what is left, one (hotel, room type) of checked size at a time."""
-    schema = "id long, ts long, end_ts long, hotel_id long, room_type string, night date, capacity int, k long, accepted boolean"
-
-    def serve(pdf):
-        stays = {i: g for i, g in pdf.groupby("id", sort=False)}
-        turns = []
-        for i, g in stays.items():
-            end = g["end_ts"].iloc[0]
-            turns.append((g["ts"].iloc[0], 2 * i, i))
-            if end == end and end is not None:
-                turns.append((int(end), 2 * i + 1, i))
-        used: dict = {}
-        inside = set()
-        kept = set()
-        for _, seq, i in sorted(turns):
-            g = stays[i]
-            if seq % 2:
-                if i in inside:
-                    inside.discard(i)
-                    for night in g["night"]:
-                        used[night] -= 1
-            elif g["accepted"].iloc[0] or all(
-                used.get(n, 0) < c for n, c in zip(g["night"], g["capacity"])
-            ):
-                inside.add(i)
-                kept.add(i)
-                for night in g["night"]:
-                    used[night] = used.get(night, 0) + 1
-        out = pdf[pdf["id"].isin(kept)].copy()
-        out["accepted"] = True
-        return out[[c.split()[0] for c in schema.split(", ")]]
-
-    return state.select(*_STATE).groupBy("hotel_id", "room_type").applyInPandas(serve, schema)
+        seen.join(_stock(inventory), CELL, "left").filter(no_room)
+        .select((F.col("seq") / 2).cast("long").alias("id")).distinct()
+    )
 
 
 # ---- what follows from a settlement ------------------------------------------------------------

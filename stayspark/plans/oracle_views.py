@@ -119,6 +119,7 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
         return sql.strip()
     ctes = ",\n".join(f"{name} as ({known[name].strip()})" for name in needed)
     body = sql.strip()
+    start = "with recursive" if any(re.search(rf"\b{n}\b", known[n]) for n in needed) else "with"
     if re.match(r"with\b", body, re.I):
-        return f"with {ctes},\n{body[4:].strip()}"
-    return f"with {ctes}\n{body}"
+        return f"{start} {ctes},\n{body[4:].strip()}"
+    return f"{start} {ctes}\n{body}"

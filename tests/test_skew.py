@@ -172,22 +172,48 @@ def test_settlement_equals_sequential(spark):
     assert {r.id: r.outcome for r in got.collect()} == sequential(rows, [], inventory)
 
 
-@pytest.mark.parametrize("native_rounds,max_rows", [(1, 10**6), (10**6, 0)])
-def test_settlement_with_cancels_equals_sequential(spark, native_rounds, max_rows):
-    """Finished group by group, and by rounds alone."""
-    rows, cancels = make_log(220, 3, 5)
-    inventory = make_inventory(3)
+def settled_log(spark, rows, cancels, inventory, users, hotels):
     got = settlement.settle_with_cancels(
         spark.createDataFrame(rows, REQUEST),
         spark.createDataFrame(cancels, "booking_id long, requested_at timestamp"),
-        spark.createDataFrame(inventory, INVENTORY),
-        native_rounds=native_rounds, max_group_rows=max_rows,
+        spark.createDataFrame(inventory, INVENTORY), users, hotels,
     )
-    want = sequential(rows, cancels, inventory)
-    # A declined card is reported as such here, whether or not the stay was still to be had.
-    refused = {r[0] for r in rows if r[7] == "decline" and r[5] > r[4]}
-    want = {i: "PAYMENT_DECLINED" if i in refused else o for i, o in want.items()}
-    assert {r.id: r.outcome for r in got.collect()} == want
+    return {r.id: r.outcome for r in got.collect()}
+
+
+@pytest.mark.parametrize("seed_shift", [0, 1])
+def test_settlement_with_cancels_equals_sequential(spark, seed_shift):
+    """Unknown users and hotels, broken dates, declined cards on sold-out nights, repeated and early cancels."""
+    rows, cancels = make_log(320 + 40 * seed_shift, 3, 5)
+    inventory = make_inventory(3)
+    got = settled_log(spark, rows, cancels, inventory, spark.range(45), spark.range(3).filter("id <> 2"))
+    valid = [r for r in rows if r[1] < 45 and r[2] != 2]
+    want = sequential(valid, [c for c in cancels if c[0] in {r[0] for r in valid}], inventory)
+    for r in rows:
+        if r[5] <= r[4]:
+            want[r[0]] = "INVALID_DATES"
+        elif r[1] >= 45:
+            want[r[0]] = "UNKNOWN_USER"
+        elif r[2] == 2:
+            want[r[0]] = "UNKNOWN_HOTEL"
+    assert got == want
+    assert set(want.values()) >= {"CONFIRMED", "CANCELLED", "NOT_AVAILABLE", "PAYMENT_DECLINED", "UNKNOWN_USER", "UNKNOWN_HOTEL"}
+
+
+def test_a_chain_of_cancels_and_rebookings(spark):
+    """One room, every guest leaves just before the next comes: each verdict hangs on the one before."""
+    at, night = datetime(2026, 1, 1), date(2026, 2, 1)
+    rows, cancels = [], []
+    for i in range(24):
+        rows.append((i, 1, 1, "SUITE", night, night + timedelta(1 + i % 2), "FLEXIBLE", "ok", at + timedelta(hours=i)))
+        cancels.append((i, at + timedelta(hours=i, minutes=90 if i % 3 == 0 else 30)))
+    stock = [(1, "SUITE", night + timedelta(d), 1) for d in range(2)]
+    got = settled_log(spark, rows, cancels, stock, spark.range(5), spark.range(5))
+    assert got == sequential(rows, cancels, stock) and "NOT_AVAILABLE" in got.values()
+
+
+def test_settlement_with_cancels_without_rows(spark):
+    assert settled_log(spark, [], [], [], spark.range(1), spark.range(1)) == {}
 
 
 def test_one_room_thousand_bookers(spark):
