@@ -6,15 +6,18 @@ the terms add up, a field's boost multiplies its sum, and the best field decides
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayspark.functions.columns import blank_to_null, clamp, has_text
-from stayspark.functions.skew import broadcast_if_small, top_n_per_key
+from stayspark.functions.skew import top_n_per_key
 from stayspark.functions.text import is_stop_word, pairs, prefixes, shingles, stem, words
 from stayspark.operators.filters import hotels_matching_batch
+from stayspark.session import stored
+from stayspark.sources import snapshots
 
 K1, B = 1.2, 0.75
 ENGLISH_FIELDS = ("name", "city", "description", "amenities")
@@ -43,7 +46,11 @@ SUGGEST_BOOSTS = {
 }
 MAX_SUGGESTIONS = 12
 FRAGMENT_CHARS = 120
-_MAX_QUERY_TERMS = 2_000_000
+#: Share of what a query's terms can add at most that is looked up for all documents.
+HEAD = 0.65
+#: Room for rounding between a floor and the scores compared with it (scores are rounded at 1e-6).
+SLACK = 1e-5
+Allowed = Callable[[DataFrame], DataFrame]
 
 
 def language(lang: Column) -> Column:
@@ -67,11 +74,16 @@ def project_documents(hotels: DataFrame) -> DataFrame:
 # ---- index -----------------------------------------------------------------------------------
 @dataclass
 class Index:
-    """postings(field, term, doc_id, tf, len); dictionary(field, term, df); stats(field, n_docs, avg_len)."""
+    """postings(field, term, doc_id, tf, len); dictionary(field, term, df, top); stats(field, n_docs, avg_len);
+    documents: the projection that was analysed.
+
+    ``top`` is the greatest share of its weight that a term reaches in any document.
+    """
 
     postings: DataFrame
     dictionary: DataFrame
     stats: DataFrame
+    documents: DataFrame
 
 
 def _field_words(df: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
@@ -98,52 +110,84 @@ def _analysed(counted: DataFrame, key: str) -> DataFrame:
     )
 
 
-def build_index(docs: DataFrame) -> Index:
-    """Analyse every text field of every document, whole texts."""
+def postings_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, field, term, tf, len) of every text field of every document, whole texts.
+
+    The texts are dealt out by document once; counting, analysing and lengths then stay in the task.
+    """
     fields = tuple(f for f in (*ENGLISH_FIELDS, *OTHER_FIELDS) if f in docs.columns)
-    tf = _analysed(_field_words(docs, "id", fields), "id").withColumnRenamed("id", "doc_id")
-    lengths = tf.groupBy("field", "doc_id").agg(F.sum("tf").alias("len"))
-    postings = tf.join(lengths, ["field", "doc_id"])
-    dictionary = tf.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    return Index(postings, dictionary, _stats(lengths))
+    dealt = docs.select("id", *fields).repartition("id")
+    tf = _analysed(_field_words(dealt, "id", fields), "id").withColumnRenamed("id", "doc_id")
+    return tf.withColumn("len", F.sum("tf").over(Window.partitionBy("doc_id", "field")))
 
 
-def _stats(lengths: DataFrame) -> DataFrame:
-    return lengths.groupBy("field").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("avg_len")
+def _saturation() -> Column:
+    """Share of its weight that a term reaches in a document."""
+    tf = F.col("tf")
+    return tf / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("len") / F.col("avg_len")))
+
+
+def _index(postings: DataFrame, documents: DataFrame) -> Index:
+    lengths = postings.groupBy("field", "doc_id").agg(F.first("len").alias("len"))
+    stats = lengths.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("avg_len"))
+    dictionary = (
+        postings.join(stats.select("field", "avg_len"), "field")
+        .groupBy("field", "term")
+        .agg(F.count(F.lit(1)).alias("df"), F.max(_saturation()).alias("top"))
     )
+    return Index(postings, dictionary, stats, documents)
 
 
-def store_index(docs: DataFrame, root: str) -> Index:
-    """Analyse the documents once, write the index, and return it as read from its files.
+def build_index(docs: DataFrame) -> Index:
+    """The index as a plan; ``publish_index`` stores it."""
+    return _index(postings_of(docs), docs)
 
-    One folder per field: a query batch reads the folders its boosts name and no texts at all.
-    """
-    built = build_index(docs)
-    built.postings.write.mode("overwrite").partitionBy("field").parquet(f"{root}/postings")
-    postings = _read_postings(docs.sparkSession, root)
-    postings.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df")).write.mode(
-        "overwrite"
-    ).partitionBy("field").parquet(f"{root}/dictionary")
-    _stats(postings.select("field", "doc_id", "len").distinct()).coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{root}/stats")
-    return read_index(docs.sparkSession, root)
 
+def write_index(docs: DataFrame, folder: str) -> None:
+    """Analyse the documents once and write the index; one folder per field of postings and dictionary, so that a query
+    batch reads the fields its boosts name and no texts at all."""
+    spark = docs.sparkSession
+    docs.write.mode("overwrite").parquet(f"{folder}/documents")
+    documents = spark.read.schema(docs.schema).parquet(f"{folder}/documents")
+    postings_of(documents).write.mode("overwrite").partitionBy("field").parquet(f"{folder}/postings")
+    built = _index(_read_postings(spark, folder), documents)
+    built.stats.coalesce(1).write.mode("overwrite").parquet(f"{folder}/stats")
+    stats = spark.read.schema(_STATS).parquet(f"{folder}/stats")
+    built = Index(built.postings, _index(built.postings, documents).dictionary, stats, documents)
+    built.dictionary.write.mode("overwrite").partitionBy("field").parquet(f"{folder}/dictionary")
 
-def _read_postings(spark, root: str) -> DataFrame:
-    schema = "term string, doc_id long, tf long, len long, field string"
-    return spark.read.schema(schema).parquet(f"{root}/postings")
 
+_STATS = "field string, n_docs long, avg_len double"
 
-def read_index(spark, root: str) -> Index:
+
+def _read_postings(spark: SparkSession, folder: str) -> DataFrame:
+    schema = "doc_id long, term string, tf long, len long, field string"
+    return spark.read.schema(schema).parquet(f"{folder}/postings")
+
+
+def read_index(spark: SparkSession, folder: str) -> Index:
     return Index(
-        _read_postings(spark, root),
-        spark.read.schema("term string, df long, field string").parquet(f"{root}/dictionary"),
-        spark.read.schema("field string, n_docs long, avg_len double").parquet(f"{root}/stats"),
+        _read_postings(spark, folder),
+        spark.read.schema("term string, df long, top double, field string").parquet(f"{folder}/dictionary"),
+        spark.read.schema(_STATS).parquet(f"{folder}/stats"),
+        spark.read.parquet(f"{folder}/documents"),
     )
 
 
+def publish_index(docs: DataFrame, root: str) -> Index:
+    """Full rebuild: analyse into a new version, then swap the pointer that readers follow."""
+    spark = docs.sparkSession
+    return read_index(spark, snapshots.publish_folder(spark, root, lambda folder: write_index(docs, folder)))
+
+
+def current_index(spark: SparkSession, root: str) -> Index:
+    """The published index."""
+    folder = snapshots.current_folder(spark, root)
+    if folder is None:
+        raise FileNotFoundError(f"nothing published under {root}")
+    return read_index(spark, folder)
+
+
 # ---- ranked search -----------------------------------------------------------------------------
 def _boosts(lang: Column) -> Column:
     def table(code):
@@ -175,39 +219,77 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return terms.join(boosts, ["query_id", "field"])
 
 
-def field_scores(index: Index, queries: DataFrame) -> DataFrame:
-    """(query_id, doc_id, field, field_score): BM25 sum per field times its boost.
-
-    The weighted query terms are broadcast when counted small, so the postings stay where they
-    are; a term in a third of all documents then costs no more than its share of the scan.
-    """
+def _weights(index: Index, queries: DataFrame) -> DataFrame:
+    """(query_id, field, term, avg_len, weight, most): a term's weight in a query, and the most it adds to any document."""
     n, df = F.col("n_docs"), F.col("df")
     idf = F.log(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
-    weighted = (
+    weight = F.col("qtf") * F.col("boost") * idf
+    return (
         query_terms(queries)
         .join(index.dictionary, ["field", "term"])
         .join(index.stats, "field")
-        .select(
-            "query_id", "field", "term", "avg_len",
-            (F.col("qtf") * F.col("boost") * idf).alias("weight"),
-        )
-    )
-    weighted = broadcast_if_small(weighted, _MAX_QUERY_TERMS)
-    tf = F.col("tf")
-    part = F.col("weight") * tf / (
-        tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("len") / F.col("avg_len"))
-    )
-    return (
-        index.postings.join(weighted, ["field", "term"])
-        .groupBy("query_id", "doc_id", "field")
-        .agg(F.sum(part).alias("field_score"))
+        .select("query_id", "field", "term", "avg_len", weight.alias("weight"), (weight * F.col("top")).alias("most"))
     )
 
 
+def _sums(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("query_id", "doc_id", "field").agg(F.sum(F.col("weight") * _saturation()).alias("field_score"))
+
+
+def field_scores(index: Index, queries: DataFrame) -> DataFrame:
+    """(query_id, doc_id, field, field_score) of every document that has a term of the query: BM25 sum per field times
+    its boost. Ranked search does not need all of them, see ``bounded_hits``."""
+    return _sums(index.postings.join(_weights(index, queries), ["field", "term"]))
+
+
 def best_fields(scores: DataFrame) -> DataFrame:
     return scores.groupBy("query_id", "doc_id").agg(F.max("field_score").alias("score"))
 
 
+def bounded_hits(index: Index, queries: DataFrame, k: int, allowed: Allowed | None = None) -> DataFrame:
+    """(query_id, doc_id, score): all documents that can be among the k best of a query, with exact scores.
+
+    ``allowed`` restricts rows (query_id, doc_id, ...) to the documents that a query admits.
+
+    1. The terms of a query's field are ordered by the most they can add, rare ones first, and only the head that makes up
+       ``HEAD`` of the sum is looked up for all documents.
+    2. The documents that lead so far are scored in full; the k-th of these scores is a floor for the query.
+    3. A document stays only if its head's score and the most that the tail could add reach the floor; it is scored in full
+       from its own postings. Documents without any term of the head need no look unless the tail alone reaches
+       the floor; such fields, few, are scored for all their documents.
+    """
+    ranked = Window.partitionBy("query_id", "field").orderBy(F.desc("most"), "term")
+    whole = Window.partitionBy("query_id", "field")
+    before = F.sum("most").over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("most")
+    weights = _weights(index, queries).withColumn("head", before < HEAD * F.sum("most").over(whole))
+    weights = weights.withColumn("tail", F.sum(F.when(F.col("head"), 0.0).otherwise(F.col("most"))).over(whole))
+    weights = stored(weights, "query-weights")
+    allowed = allowed or (lambda rows: rows)
+    looked_up = index.postings.join(weights.filter("head").drop("tail"), ["field", "term"])
+    heads = stored(allowed(_sums(looked_up)), "query-heads")
+    leading = top_n_per_key(best_fields(heads), ["query_id"], [F.desc("score"), F.asc("doc_id")], 2 * k, "turn")
+    exact = best_fields(_from_documents(index, weights, leading.select("query_id", "doc_id")))
+    floors = top_n_per_key(exact, ["query_id"], [F.desc("score")], k, "turn").groupBy("query_id").agg(
+        F.when(F.count(F.lit(1)) == k, F.min("score") - SLACK).otherwise(F.lit(0.0)).alias("floor")
+    )
+    tails = weights.groupBy("query_id", "field").agg(F.first("tail").alias("tail"))
+    limits = stored(tails.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(0.0))), "query-limits")
+    open_fields = limits.filter("tail > 0 and tail >= floor").select("query_id", "field")
+    wide = weights.join(open_fields, ["query_id", "field"], "left_semi")
+    everywhere = allowed(_sums(index.postings.join(wide, ["field", "term"])))
+    near = heads.join(limits.filter("tail = 0 or tail < floor"), ["query_id", "field"])
+    near = near.filter("field_score + tail >= floor")
+    done = near.filter("tail = 0").select("query_id", "doc_id", "field", "field_score")
+    rest = _from_documents(index, weights, near.filter("tail > 0").select("query_id", "doc_id", "field"))
+    return best_fields(everywhere.unionByName(done).unionByName(rest))
+
+
+def _from_documents(index: Index, weights: DataFrame, asked: DataFrame) -> DataFrame:
+    """Field scores of the asked (query_id, doc_id[, field]) from all postings of those documents."""
+    keys = [c for c in ("doc_id", "field") if c in asked.columns]
+    return _sums(index.postings.join(asked, keys).join(weights, ["query_id", "field", "term"]))
+
+
 def city_matches(index: Index, queries: DataFrame) -> DataFrame:
     """(query_id, doc_id) where the city argument matches either city field, analysed."""
     asked = queries.filter(has_text(F.col("city"))).select("query_id", F.col("city").alias("text"))
@@ -223,42 +305,36 @@ def city_matches(index: Index, queries: DataFrame) -> DataFrame:
 def search(
     index: Index, docs: DataFrame, queries: DataFrame, k: int = 20
 ) -> DataFrame:
-    """Top-k (query_id, rank, doc_id, score) per query, by (score desc, id).
+    """Top-k (query_id, rank, doc_id, score) per query, by (score desc, id asc).
 
-    queries: query_id, q, lang and optionally city, min_price, max_price. Filters exclude without
-    scoring; a blank query matches everything with score 1.
+    queries: query_id, q, lang and optionally city, min_price, max_price. Filters exclude documents
+    before anything is scored in full; a blank query matches everything with score 1.
     """
     facts = docs.select(F.col("id").alias("doc_id"), "city", "price_per_night")
-    hits = best_fields(field_scores(index, queries))
-    filtered = [c for c in ("city", "min_price", "max_price") if c in queries.columns]
-    blank = queries.filter(~has_text(F.col("q")))
-    if filtered:
-        full = queries
-        for c in ("city", "min_price", "max_price"):
-            if c not in full.columns:
-                full = full.withColumn(c, F.lit(None).cast("string" if c == "city" else "double"))
-        bounds = full.select("query_id", "min_price", "max_price", blank_to_null(F.col("city")).alias("_asked"))
-        allowed = city_matches(index, full).withColumn("_in_city", F.lit(True))
-        price = F.col("price_per_night")
-        everything = _all_documents(facts, full.filter(~has_text(F.col("q"))))
-        hits = hits.unionByName(everything)
-        hits = (
-            hits.join(bounds, "query_id")
-            .join(facts.select("doc_id", "price_per_night"), "doc_id")
-            .filter(F.col("min_price").isNull() | (price >= F.col("min_price")))
-            .filter(F.col("max_price").isNull() | (price <= F.col("max_price")))
-            .join(allowed, ["query_id", "doc_id"], "left")
-            .filter("_asked is null or _in_city")
-            .select("query_id", "doc_id", "score")
-        )
-    else:
-        open_blank = blank.select(
-            "query_id", "q", "lang",
-            F.lit(None).cast("string").alias("city"),
-            F.lit(None).cast("double").alias("min_price"),
-            F.lit(None).cast("double").alias("max_price"),
-        )
-        hits = hits.unionByName(_all_documents(facts, open_blank))
+    full = queries
+    for c in ("city", "min_price", "max_price"):
+        if c not in full.columns:
+            full = full.withColumn(c, F.lit(None).cast("string" if c == "city" else "double"))
+    bounds = full.select("query_id", "min_price", "max_price", blank_to_null(F.col("city")).alias("_asked"))
+    price = F.col("price_per_night")
+
+    def in_city(rows: DataFrame) -> DataFrame:
+        matched = city_matches(index, full).withColumn("_in_city", F.lit(True))
+        joined = rows.join(bounds.select("query_id", "_asked"), "query_id").join(matched, ["query_id", "doc_id"], "left")
+        return joined.filter("_asked is null or _in_city").select(*rows.columns)
+
+    def in_price(rows: DataFrame) -> DataFrame:
+        joined = rows.join(bounds.select("query_id", "min_price", "max_price"), "query_id").join(facts.drop("city"), "doc_id")
+        least = F.col("min_price").isNull() | (price >= F.col("min_price"))
+        return joined.filter(least & (F.col("max_price").isNull() | (price <= F.col("max_price")))).select(*rows.columns)
+
+    def allowed(rows: DataFrame) -> DataFrame:
+        rows = in_price(rows) if {"min_price", "max_price"} & set(queries.columns) else rows
+        return in_city(rows) if "city" in queries.columns else rows
+
+    blank = _all_documents(facts, full.filter(~has_text(F.col("q"))))
+    blank = in_city(blank) if "city" in queries.columns else blank
+    hits = bounded_hits(index, queries, k, allowed).unionByName(blank)
     rounded = hits.withColumn("score", F.round("score", 6))
     return top_n_per_key(rounded, ["query_id"], [F.desc("score"), F.asc("doc_id")], k).select(
         "query_id", "rank", "doc_id", "score"
@@ -461,9 +537,14 @@ def suggest(index: SuggestIndex, queries: DataFrame, max_size: int = MAX_SUGGEST
     )
 
 
-def index_status(table: DataFrame, index_docs: DataFrame) -> DataFrame:
+def indexed_ids(index: Index) -> DataFrame:
+    """Ids of the documents that have postings."""
+    return index.postings.select(F.col("doc_id").alias("id")).distinct()
+
+
+def index_status(table: DataFrame, index: Index) -> DataFrame:
     """One row: documents in the table, in the index, and whether they agree."""
     t = table.agg(F.count(F.lit(1)).alias("n")).scalar()
-    i = index_docs.agg(F.count(F.lit(1)).alias("n")).scalar()
+    i = indexed_ids(index).agg(F.count(F.lit(1)).alias("n")).scalar()
     both = table.sparkSession.range(1).select(t.alias("in_table"), i.alias("in_index"))
     return both.withColumn("in_sync", F.col("in_table") == F.col("in_index"))

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from stayspark.functions.columns import has_text, name_uuid
 from stayspark.functions.skew import top_n_per_key
@@ -16,18 +20,30 @@ from stayspark.functions.text import words
 from stayspark.functions.vector import cosine, word_bucket
 from stayspark.operators.filters import metadata_condition
 from stayspark.operators.ranking import MEMORY_WINDOW
+from stayspark.session import stored
 
 # Fixed values of the model.
 TOP_K = 4
 THRESHOLD = 0.5
 DIMENSIONS = 64
 
-# One block of query vectors is shipped to every task; 64 MiB of doubles at most.
-BLOCK_BYTES = 64 * 1024 * 1024
+#: A batch of queries that may travel with the tasks: rows, and numbers in all (64 MiB of doubles).
+STRIPE_ROWS = 4096
+BATCH_VALUES = 8 * 1024 * 1024
+PART_ROWS = 16384
+#: Queries whose scores with all rows of a batch or part are held at once.
+TILE = 256
+#: Inverted lists of the approximate search, rows they are fitted on, and lists that a query visits.
+LISTS = 32
+LIST_SAMPLE = 8192
+PROBES = 16
 
 
-def retrieval_documents(hotels: DataFrame, id_prefix: str = "hotel-") -> DataFrame:
-    """(id, text, metadata) for hotels with a description; the id is stable over re-runs."""
+def retrieval_documents(hotels: DataFrame, id_prefix: str = "hotel-", key: str = "id") -> DataFrame:
+    """(id, text, metadata) for hotels with a description; the id, from ``key``, is stable over re-runs.
+
+    Where a hotel has several descriptions, ``key`` is what tells them apart; it joins the metadata.
+    """
     # Fixed value: the text pattern.
     text = F.format_string(
         "%s in %s.\nPrice: $%s per night.\n%s\nAmenities: %s.",
@@ -35,11 +51,12 @@ def retrieval_documents(hotels: DataFrame, id_prefix: str = "hotel-") -> DataFra
         F.col("description"), F.coalesce("amenities", F.lit("not listed")),
     )
     return hotels.filter(has_text(F.col("description"))).select(
-        name_uuid(F.concat(F.lit(id_prefix), F.col("id").cast("string"))).alias("id"),
+        name_uuid(F.concat(F.lit(id_prefix), F.col(key).cast("string"))).alias("id"),
         F.trim(text).alias("text"),
         F.struct(
             F.col("id").alias("hotelId"), F.col("name"), F.col("city"),
             F.col("price_per_night").alias("pricePerNight"),
+            *([F.col(key)] if key != "id" else []),
         ).alias("metadata"),
     )
 
@@ -82,14 +99,41 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(flat values, offsets) of a list column."""
+def _by_length(column: pa.Array | pa.ChunkedArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """length -> (row numbers, unit vectors as a matrix) of a list column; null rows are left out."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return (
-        column.values.to_numpy(zero_copy_only=False).astype(np.float64),
-        column.offsets.to_numpy(),
-    )
+    sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    found = {}
+    for d in np.unique(sizes[~np.isnan(sizes)] if sizes.dtype.kind == "f" else sizes):
+        rows = np.flatnonzero(sizes == d)
+        flat = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        found[int(d)] = (rows, _unit(flat.reshape(len(rows), int(d))))
+    return found
+
+
+def _best(asked: pa.Table, stored: pa.Table | pa.RecordBatch, k: int, threshold: float) -> list[pd.DataFrame]:
+    """The k nearest of the stored rows for each asked row; ``TILE`` asked rows are scored at once."""
+    if not asked.num_rows or not stored.num_rows:
+        return []
+    query_ids, names = asked.column("query_id").to_numpy(zero_copy_only=False), stored.column("id").to_pandas().to_numpy()
+    left, right, parts = _by_length(asked.column("embedding")), _by_length(stored.column("embedding")), []
+    for d in left.keys() & right.keys():
+        (rows, matrix), (places, vectors) = left[d], right[d]
+        for at in range(0, len(rows), TILE):
+            scores = np.round(matrix[at : at + TILE] @ vectors.T, 6)
+            keep = scores > threshold
+            if len(places) > k:
+                keep &= scores >= np.partition(scores, len(places) - k, axis=1)[:, len(places) - k, None]
+            i, j = np.nonzero(keep)
+            found = pd.DataFrame({"query_id": query_ids[rows[at + i]], "id": names[places[j]], "score": scores[i, j]})
+            parts.append(_head(found, k))
+    return parts
+
+
+def _head(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    ordered = found.sort_values(["query_id", "score", "id"], ascending=[True, False, True])
+    return ordered.groupby("query_id", sort=False).head(k)
 
 
 def similarity_search(
@@ -99,116 +143,160 @@ def similarity_search(
     threshold: float = THRESHOLD,
     condition: tuple | None = None,
     id_type: str = "long",
-    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Top-k per query by cosine, strictly above the threshold: (query_id, rank, id, score).
 
     ``store``: id, embedding[, metadata]; ``queries``: query_id long, embedding. The metadata
     condition is an ordinary filter below the scan of vectors. Scores are compared at six decimals,
-    ties go to the lower id. The query batch is counted and cut into blocks of bounded size; every
-    block is one pass that multiplies matrices inside the tasks and keeps k rows per task and
-    query, so no query-vector pair is ever shuffled. Vectors of another length are skipped.
+    ties go to the lower id; vectors of another length are skipped.
+
+    A batch of at most ``STRIPE_ROWS`` queries and ``BATCH_VALUES`` numbers travels with the tasks that scan the store, which is
+    not shuffled then. A larger batch is laid out against the store as a grid of bounded tiles, see ``grid``. Either way a
+    task holds ``TILE`` rows of scores at a time and sends k rows per query onwards.
     """
     if condition is not None:
         store = store.filter(metadata_condition(condition))
-    store = store.select("id", "embedding")
-    spark = store.sparkSession
-    shape = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")
-    ).first()
+    store, queries = store.select("id", "embedding"), queries.select("query_id", "embedding")
     schema = f"query_id long, id {id_type}, score double"
-    if not shape["n"]:
-        return spark.createDataFrame([], schema).withColumn("rank", F.lit(0))
-    per_block = max(1, block_bytes // (8 * max(shape["d"], 1)))
-    blocks = -(-shape["n"] // per_block)
-    passes = None
-    for b in range(blocks):
-        # Blocks by hash hold per_block rows on average; the driver reads one block at a time.
-        part = queries if blocks == 1 else queries.filter(
-            F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b
-        )
-        rows = part.select("query_id", "embedding").toArrow()
-        found = store.mapInArrow(_block_scan(rows, k, threshold), schema)
-        passes = found if passes is None else passes.unionByName(found)
-    return top_n_per_key(passes, ["query_id"], [F.desc("score"), F.asc("id")], k).select(
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("embedding")).alias("values")).first()
+    if size["n"] <= STRIPE_ROWS and (size["values"] or 0) <= BATCH_VALUES:
+        found = store.mapInArrow(_scan(queries.toArrow(), k, threshold), schema)
+    else:
+        found = grid(store, queries, size["n"]).applyInArrow(_tile(k, threshold, store.schema["id"].dataType), schema)
+    return top_n_per_key(found, ["query_id"], [F.desc("score"), F.asc("id")], k).select(
         "query_id", "rank", "id", "score"
     )
 
 
-def _block_scan(rows: pa.Table, k: int, threshold: float):
-    ids = rows.column("query_id").to_numpy()
-    flat, offsets = _rows(rows.column("embedding"))
-    sizes = np.diff(offsets)
-    by_size = {
-        int(d): (ids[sizes == d], _unit(np.stack([flat[o : o + d] for o in offsets[:-1][sizes == d]])))
-        for d in np.unique(sizes)
-    }
-
+def _scan(asked: pa.Table, k: int, threshold: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, list[pd.DataFrame]] = {}
+        best: list[pd.DataFrame] = []
         for batch in batches:
-            values, off = _rows(batch.column("embedding"))
-            lengths = np.diff(off)
-            names = batch.column("id").to_pandas().to_numpy()
-            for d, (query_ids, matrix) in by_size.items():
-                pick = np.flatnonzero(lengths == d)
-                if not len(pick):
-                    continue
-                vectors = _unit(values[off[pick][:, None] + np.arange(d)])
-                scores = np.round(vectors @ matrix.T, 6)
-                if len(pick) > k:
-                    floor = np.partition(scores, len(pick) - k, axis=0)[len(pick) - k]
-                    keep = (scores > threshold) & (scores >= floor)
-                else:
-                    keep = scores > threshold
-                i, j = np.nonzero(keep)
-                found = pd.DataFrame(
-                    {"query_id": query_ids[j], "id": names[pick[i]], "score": scores[i, j]}
-                )
-                parts = best.setdefault(d, [])
-                parts.append(found)
-                if len(parts) > 16:
-                    best[d] = [_head(pd.concat(parts), k)]
-        for parts in best.values():
-            yield pa.RecordBatch.from_pandas(_head(pd.concat(parts), k), preserve_index=False)
+            best += _best(asked, batch, k, threshold)
+            if len(best) > 16:
+                best = [_head(pd.concat(best), k)]
+        if best:
+            yield pa.RecordBatch.from_pandas(_head(pd.concat(best), k), preserve_index=False)
 
     return scan
 
 
-def _head(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = found.sort_values(["query_id", "score", "id"], ascending=[True, False, True])
-    return ordered.groupby("query_id", sort=False).head(k)
+def grid(store: DataFrame, queries: DataFrame, n_queries: int):
+    """Both sides dealt out as parts of ``PART_ROWS`` store rows and stripes of ``STRIPE_ROWS`` queries, each copied along
+    the other: one group per (stripe, part), of bounded size whatever the batch or the store holds.
+
+    Keys are long on both sides, as groups meet by the hash of the typed value.
+    """
+    number = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    deal = lambda n: F.pmod(F.monotonically_increasing_id(), F.lit(n).cast("long"))
+    parts = max(1, -(-store.count() // PART_ROWS))
+    stripes = max(1, -(-n_queries // STRIPE_ROWS))
+    asked = queries.withColumn("stripe", deal(stripes)).withColumn("part", number(parts))
+    stored_ = store.withColumn("piece", deal(parts)).withColumn("band", number(stripes))
+    return asked.groupBy("stripe", "part").cogroup(stored_.groupBy("band", "piece"))
+
+
+def _tile(k: int, threshold: float, id_type):
+    out = to_arrow_schema(T.StructType().add("query_id", T.LongType()).add("id", id_type).add("score", T.DoubleType()))
+
+    def score(asked: pa.Table, stored_: pa.Table) -> pa.Table:
+        found = _best(asked, stored_, k, threshold)
+        return pa.Table.from_pandas(pd.concat(found), out, preserve_index=False) if found else out.empty_table()
+
+    return score
+
+
+# ---- approximate search ------------------------------------------------------------------------------
+@dataclass
+class ListIndex:
+    """Inverted lists: ``rows`` (list, piece, id, embedding) by nearest centroid; ``pieces`` per list."""
+
+    rows: DataFrame
+    centroids: np.ndarray
+    pieces: dict[int, int]
+
+
+def build_lists(store: DataFrame, folder: str, lists: int = LISTS, sample: int = LIST_SAMPLE) -> ListIndex:
+    """Write the store as inverted lists, a folder each: every row goes to the list of its nearest centroid.
+
+    Centroids are fitted on a sample of about ``sample`` rows (by hash of the id); every row with a
+    vector is indexed. Vectors must have one length.
+    """
+    store = store.select("id", "embedding").filter("embedding is not null")
+    n = max(1, store.count())
+    share = min(1.0, sample / n)
+    drawn = store.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).select("embedding").limit(4 * sample)
+    drawn = list(_by_length(drawn.toArrow().column("embedding")).values())
+    if not drawn:
+        raise ValueError("nothing to index")
+    centroids = _coarse(drawn[0][1], lists)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nearest = np.zeros(batch.num_rows, np.int32)
+            for d, (rows, vectors) in _by_length(batch.column("embedding")).items():
+                if d != centroids.shape[1]:
+                    raise ValueError(f"a vector of {d} numbers among those of {centroids.shape[1]}")
+                nearest[rows] = (vectors @ centroids.T).argmax(axis=1)
+            yield batch.append_column("list", pa.array(nearest))
+
+    kinds = {f.name: f.dataType.simpleString() for f in store.schema.fields}
+    schema = f"id {kinds['id']}, embedding {kinds['embedding']}, list int"
+    placed = stored(store.mapInArrow(assign, schema), "lists")
+    sizes = {r["list"]: r["n"] for r in placed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pieces = {c: -(-n // PART_ROWS) for c, n in sizes.items()}
+    # A long list is written by as many tasks as it has pieces.
+    piece = F.pmod(F.xxhash64("id"), F.element_at(F.create_map(*[F.lit(x).cast("long") for c in pieces.items() for x in c]), F.col("list").cast("long")))
+    placed.withColumn("piece", piece).repartition("list", "piece").write.mode("overwrite").partitionBy("list").parquet(folder)
+    rows = store.sparkSession.read.schema(f"id {kinds['id']}, embedding {kinds['embedding']}, piece long, list int").parquet(folder)
+    return ListIndex(rows, centroids, pieces)
+
+
+def _coarse(sample: np.ndarray, lists: int, turns: int = 10) -> np.ndarray:
+    """Unit centroids of the sample by spherical k-means from evenly spaced starts."""
+    ordered = sample[np.lexsort(sample.T)]
+    centers = ordered[np.linspace(0, len(ordered) - 1, min(lists, len(ordered))).astype(int)]
+    for _ in range(turns):
+        nearest = (ordered @ centers.T).argmax(axis=1)
+        sums = np.zeros_like(centers)
+        np.add.at(sums, nearest, ordered)
+        centers = np.where(np.linalg.norm(sums, axis=1, keepdims=True) > 0, _unit(sums), centers)
+    return centers
 
 
 def approximate_search(
-    store: DataFrame,
-    queries: DataFrame,
-    k: int = TOP_K,
-    threshold: float = THRESHOLD,
-    tables: int = 8,
-    bucket_length: float = 0.5,
+    index: ListIndex, queries: DataFrame, k: int = TOP_K, threshold: float = THRESHOLD, probes: int = PROBES
 ) -> DataFrame:
-    """Index-backed variant: random-projection buckets propose neighbours, exact cosines rank them."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
-    from pyspark.ml.functions import array_to_vector
-
-    def unit(df: DataFrame) -> DataFrame:
-        v = df.withColumn("_v", array_to_vector(F.col("embedding").cast("array<double>")))
-        return Normalizer(inputCol="_v", outputCol="_unit").transform(v)
-
-    s, q = unit(store.select("id", "embedding")), unit(queries.select("query_id", "embedding"))
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="_unit", outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=7
-    ).fit(s)
-    # On unit vectors cosine > t is the same as distance < sqrt(2 - 2 t).
-    radius = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    near = lsh.approxSimilarityJoin(s, q, radius, "distance").select(
-        F.col("datasetB.query_id").alias("query_id"), F.col("datasetA.id").alias("id"),
-        F.round(cosine(F.col("datasetA.embedding"), F.col("datasetB.embedding")), 6).alias("score"),
-    )
-    return top_n_per_key(
-        near.filter(F.col("score") > threshold), ["query_id"], [F.desc("score"), F.asc("id")], k
-    ).select("query_id", "rank", "id", "score")
+    """Index-backed variant of ``similarity_search``: a query looks only into the ``probes`` lists with the nearest centroids."""
+    centroids, pieces = index.centroids, index.pieces
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for d, (rows, vectors) in _by_length(batch.column("embedding")).items():
+                if d != centroids.shape[1]:
+                    continue
+                near = np.argsort(-(vectors @ centroids.T), axis=1, kind="stable")[:, :probes]
+                visits = [(r, c, p) for r, row in zip(rows, near, strict=True) for c in row for p in range(pieces.get(int(c), 0))]
+                if not visits:
+                    continue
+                taken, lists, parts = (pa.array(x) for x in zip(*[(int(r), int(c), p) for r, c, p in visits], strict=True))
+                picked = batch.select(["query_id", "embedding"]).take(taken)
+                columns = [*picked.columns, pa.array(lists, pa.int32()), pa.array(parts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "embedding", "list", "piece"])
+
+    kind = queries.schema["embedding"].dataType.simpleString()
+    visits = queries.select("query_id", "embedding").mapInArrow(probe, f"query_id long, embedding {kind}, list int, piece long")
+    # Stripes bound what meets in a list that many queries visit.
+    n = max(1, queries.count())
+    stripes = -(-n // STRIPE_ROWS)
+    visits = stored(visits.withColumn("stripe", F.pmod(F.xxhash64("query_id"), F.lit(stripes))), "visits")
+    wanted = visits.select(F.col("list").alias("of"), F.col("piece").alias("part"), F.col("stripe").alias("band")).distinct()
+    rows = index.rows
+    met = rows.join(wanted, (rows["list"] == wanted["of"]) & (rows["piece"] == wanted["part"])).select("id", "embedding", "of", "part", "band")
+    groups = visits.groupBy("list", "piece", "stripe").cogroup(met.groupBy("of", "part", "band"))
+    id_type = rows.schema["id"].dataType
+    found = groups.applyInArrow(_tile(k, threshold, id_type), f"query_id long, id {id_type.simpleString()}, score double")
+    return top_n_per_key(found, ["query_id"], [F.desc("score"), F.asc("id")], k).select("query_id", "rank", "id", "score")
 
 
 def pair_similarity(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
@@ -288,6 +376,13 @@ def suggestion_prompts(requests: DataFrame) -> DataFrame:
     )
 
 
+def last_questions(turns: DataFrame, default: str) -> DataFrame:
+    """(conv_id, question): the newest user turn of each conversation, the default where it is blank or missing."""
+    is_user = F.col("role") == "user"
+    last = turns.groupBy("conv_id").agg(F.max_by(F.when(is_user, F.col("text")), F.when(is_user, F.col("turn"))).alias("q"))
+    return last.select("conv_id", F.when(has_text(F.col("q")), F.col("q")).otherwise(F.lit(default)).alias("question"))
+
+
 def memory_window(turns: DataFrame, n: int = MEMORY_WINDOW) -> DataFrame:
     """(conv_id, memory): the newest n turns of each conversation, oldest first, as one text.
 

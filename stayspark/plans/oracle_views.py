@@ -18,10 +18,11 @@ VIEWS: dict[str, str] = {
                case when s_suppkey % 3 = 0 then 3 * (s_suppkey % 7) end manager_id,
                case (s_suppkey // 3) % 3 when 0 then 'FREE' when 1 then 'PRO' else 'ENTERPRISE' end saas_plan,
                case s_suppkey % 4 when 1 then 'free wifi, pool' when 2 then 'spa, pools, bar'
-                                  when 3 then 'gym , ,laundry' end amenities,
-               text description
-        from supplier join nation on s_nationkey = n_nationkey
-        left join documents on doc_id = s_suppkey""",
+                                  when 3 then 'gym , ,laundry' end amenities
+        from supplier join nation on s_nationkey = n_nationkey""",
+    "described_hotels": """
+        select h.*, doc_id, text description
+        from documents join hotels h on h.id = doc_id % (select count(*) from supplier)""",
     "bookings": f"""
         select o_orderkey id, o_custkey user_id,
                (o_orderkey * 31 + o_custkey) % (select count(*) from supplier) hotel_id,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from stayspark.functions.columns import csv_items, once
 from stayspark.operators import aggs, filters, joins, ranking
 from stayspark.plans.registry import Registry, sql_date, sql_ts
-from stayspark.sources import generate, metrics, partitioned, topics
+from stayspark.session import session_folder
+from stayspark.sources import generate, metrics, partitioned, snapshots, topics
 from stayspark.sources.views import Views
 
 REG = Registry(
@@ -144,27 +148,37 @@ def _(v: Views):
     )
 
 
+QUARTER_SCHEMA = "id long, user_id long, hotel_id long, room_type string, check_in date, check_out date, status string"
+
+
+def bookings_by_quarter(v: Views) -> str:
+    """Folder of the stays written by quarter of check-in; written again only when the source files change."""
+    root = session_folder(v.spark, f"bookings-by-quarter/{hashlib.sha256(v.folder.encode()).hexdigest()[:16]}")
+    signed = snapshots.signature(v.spark, *[f"{v.folder}/{t}.parquet" for t in ("orders", "supplier")])
+    stays = v.bookings().select(*[c.split()[0] for c in QUARTER_SCHEMA.split(", ")])
+    return snapshots.current_or_rebuilt(v.spark, root, signed, lambda to: partitioned.write_by_quarter(stays, to))
+
+
 @query("src10_quarter_window", """
-    select year(check_in) || 'q' || quarter(check_in) "quarter", count(*) n
+    select year(check_in) || 'q' || quarter(check_in) "quarter", count(*) n, count(distinct hotel_id) n_hotels
     from bookings where check_in >= date '2026-02-15' and check_in < date '2026-05-15'
     group by 1""")
 def _(v: Views):
-    """Window count over the quarter label; written tables prune on it."""
-    from datetime import date
-
-    first, last = date(2026, 2, 15), date(2026, 5, 15)
-    quarter = partitioned.quarter_of(F.col("check_in"))
-    stays = v.bookings().withColumn("quarter", quarter).filter(
-        F.col("quarter").isin(partitioned.quarters_between(first, last))
-        & (F.col("check_in") >= F.lit(first)) & (F.col("check_in") < F.lit(last))
+    """Stays and hotels of a window, read from the quarters that it touches."""
+    window = partitioned.read_window(
+        v.spark, bookings_by_quarter(v), QUARTER_SCHEMA, date(2026, 2, 15), date(2026, 5, 15)
+    )
+    return window.groupBy("quarter").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("hotel_id").alias("n_hotels")
     )
-    return aggs.counts(stays, "quarter")
 
 
 @query("src11_rows_per_partition", """
     select year(check_in) || 'q' || quarter(check_in) "quarter", count(*) n from bookings group by 1""")
 def _(v: Views):
-    return partitioned.rows_per_quarter(v.bookings())
+    return partitioned.rows_per_partition(
+        partitioned.read_by_quarter(v.spark, bookings_by_quarter(v), QUARTER_SCHEMA)
+    )
 
 
 @query("src12_metric_samples", f"""
@@ -472,7 +486,7 @@ def _(v: Views):
 @query("agg7_summary_row", """
     select (select count(*) from users) users, (select count(*) from hotels) hotels,
            (select count(*) from bookings) bookings, (select count(*) from payments) payments,
-           (select count(*) from hotels where description is not null) described""")
+           (select count(*) from described_hotels where description is not null) described""")
 def _(v: Views):
     return aggs.summary_row(
         v.spark, users=v.users(), hotels=v.hotels(), bookings=v.bookings(), payments=v.payments(),

@@ -10,12 +10,15 @@ from stayspark.operators.retrieval import hybrid_retrieval
 from stayspark.plans.registry import Registry, sql_date
 from stayspark.plans.relational import REG as RELATIONAL
 from stayspark.plans.relational import stock
+from stayspark.session import shared_folder
 from stayspark.sources.tables import spread
 from stayspark.sources.views import Views
 
 DIM = 64
 #: A label's mean lies far from each of its members.
 CENTROID_SCORE = 0.1
+#: Least cosine of the neighbours that vectors ask for.
+NEAR = 0.2
 TEMPLATE = "Context:\n{context}\n\nQuestion: {question}"
 DEFAULT_QUESTION = "Find hotels near the beach under $100"
 
@@ -39,11 +42,26 @@ def _cos(a: str, b: str) -> str:
         * sqrt(list_dot_product(cast({b} as double[]), cast({b} as double[]))), 0), 0), 6)"""
 
 
+def _hits(asked: str) -> str:
+    return f"""
+        select * from (select query_id, id, score, row_number() over (partition by query_id
+                         order by score desc, id) "rank" from (
+          select a.id query_id, h.id, {_cos('a.embedding', 'h.embedding')} score
+          from {asked} a, hotel_vectors h) s where score > 0.5) r"""
+
+
+def _contexts(hits: str) -> str:
+    return f"""
+        select query_id, string_agg(d.text, chr(10) || chr(10) order by "rank") context,
+               string_agg(cast(d.doc_id as varchar), ',' order by "rank") sources
+        from {hits} r join hotel_docs d on d.doc_id = r.id where "rank" <= 4 group by query_id"""
+
+
 REG = Registry(
     {
         "stock": RELATIONAL.views["stock"],
         "hotel_docs": """
-            select id hotel_id, "name", city, price_per_night,
+            select doc_id, id hotel_id, "name", city, price_per_night,
                    substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-3' || substr(h, 14, 3) || '-'
                      || case substr(h, 17, 1) when '0' then '8' when '4' then '8' when '8' then '8' when 'c' then '8'
                           when '1' then '9' when '5' then '9' when '9' then '9' when 'd' then '9'
@@ -51,8 +69,8 @@ REG = Registry(
                      || substr(h, 18, 3) || '-' || substr(h, 21, 12) id,
                    "name" || ' in ' || city || '.' || chr(10) || 'Price: $' || price_per_night || ' per night.' || chr(10)
                      || description || chr(10) || 'Amenities: ' || coalesce(amenities, 'not listed') || '.' text
-            from (select *, md5('hotel-' || id) h from hotels where description is not null) x""",
-        "hotel_vectors": _bag("hotel_docs", "hotel_id", "text"),
+            from (select *, md5('hotel-' || doc_id) h from described_hotels where description is not null) x""",
+        "hotel_vectors": _bag("hotel_docs", "doc_id", "text"),
         "doc_vectors": _bag("documents", "doc_id", "text"),
         "ask_vectors": _bag("benchmark", "item_id", "text"),
         "centroids": f"""
@@ -65,15 +83,14 @@ REG = Registry(
               select query_id, v.id, {_cos('c.embedding', 'v.embedding')} score
               from centroids c, vectors v where price_per_night < 300) s where score > {CENTROID_SCORE}) r
             where "rank" <= 4""",
-        "hotel_hits": f"""
-            select * from (select query_id, hotel_id, id, score, row_number() over (partition by query_id
-                             order by score desc, hotel_id) "rank" from (
-              select a.id query_id, h.id hotel_id, h.id id, {_cos('a.embedding', 'h.embedding')} score
-              from ask_vectors a, hotel_vectors h) s where score > 0.5) r""",
-        "contexts": """
-            select query_id, string_agg(d.text, chr(10) || chr(10) order by "rank") context,
-                   string_agg(cast(d.hotel_id as varchar), ',' order by "rank") sources
-            from hotel_hits r join hotel_docs d on d.hotel_id = r.hotel_id where "rank" <= 4 group by query_id""",
+        "last_questions": f"""
+            select conv_id, case when trim(coalesce(q, '')) = '' then '{DEFAULT_QUESTION}' else q end question
+            from (select conv_id, arg_max(text, turn) filter (where role = 'user') q from conversations group by conv_id) t""",
+        "talk_vectors": _bag("last_questions", "conv_id", "question"),
+        "hotel_hits": _hits("ask_vectors"),
+        "talk_hits": _hits("talk_vectors"),
+        "contexts": _contexts("hotel_hits"),
+        "talk_contexts": _contexts("talk_hits"),
     }
 )
 query = REG.query
@@ -94,14 +111,12 @@ def centroids(v: Views):
 
 
 def hotel_documents(v: Views):
-    docs = vectors.retrieval_documents(v.described_hotels())
-    return docs.withColumn("hotel_id", F.col("metadata.hotelId"))
+    docs = vectors.retrieval_documents(v.described_hotels(), key="doc_id")
+    return docs.withColumn("doc_id", F.col("metadata.doc_id"))
 
 
 def hotel_vectors(v: Views):
-    return vectors.embed_words(hotel_documents(v), "hotel_id", "text", DIM).withColumnRenamed(
-        "hotel_id", "id"
-    )
+    return vectors.embed_words(hotel_documents(v), "doc_id", "text", DIM).withColumnRenamed("doc_id", "id")
 
 
 def questions(v: Views):
@@ -110,23 +125,23 @@ def questions(v: Views):
     )
 
 
-def question_vectors(v: Views):
-    return vectors.embed_words(questions(v), "query_id", "question", DIM)
-
-
-def hotel_hits(v: Views, k: int = 4):
-    return vectors.similarity_search(hotel_vectors(v), question_vectors(v), k=k)
+def hits_of(v: Views, asked, k: int = 4):
+    """Documents nearest to the questions (query_id, question)."""
+    vector = vectors.embed_words(asked, "query_id", "question", DIM)
+    return vectors.similarity_search(hotel_vectors(v), vector, k=k)
 
 
 def hotel_texts(v: Views):
-    return hotel_documents(v).select(F.col("hotel_id").alias("id"), "text")
+    return hotel_documents(v).select(F.col("doc_id").alias("id"), "text")
 
 
 @query("vec1_retrieval_documents", """
-    select id, text, hotel_id, "name", city, price_per_night from hotel_docs""")
+    select id, text, doc_id, hotel_id, "name", city, price_per_night from hotel_docs""")
 def _(v: Views):
+    """Every document, as a description of its hotel."""
     m = F.col("metadata")
-    return vectors.retrieval_documents(v.described_hotels()).select(
+    return hotel_documents(v).select(
+        "doc_id",
         "id", "text", m["hotelId"].alias("hotel_id"), m["name"].alias("name"),
         m["city"].alias("city"), m["pricePerNight"].alias("price_per_night"),
     )
@@ -148,6 +163,37 @@ def _(v: Views):
     )
 
 
+def list_index(v: Views) -> vectors.ListIndex:
+    return vectors.build_lists(v.vectors(), shared_folder(v.spark, "vector-lists"))
+
+
+def vector_questions(v: Views):
+    """Every twentieth vector asks for what is near it."""
+    return v.vectors().filter("id % 20 = 0").select(F.col("id").alias("query_id"), "embedding")
+
+
+@query("vec4_approximate_search")
+def _(v: Views):
+    """The nearest vectors by the inverted lists."""
+    return vectors.approximate_search(list_index(v), vector_questions(v), threshold=NEAR)
+
+
+@query("vec4_approximate_recall", f"""
+    select count(*) n_exact, count(distinct query_id) n_queries, true nine_in_ten from (
+      select *, row_number() over (partition by query_id order by score desc, id) "rank" from (
+        select q.id query_id, v.id, {_cos('q.embedding', 'v.embedding')} score from vectors q, vectors v where q.id % 20 = 0) s
+      where score > {NEAR}) r where "rank" <= 4""")
+def _(v: Views):
+    """How many of the exact neighbours the inverted lists find."""
+    exact = vectors.similarity_search(v.vectors(), vector_questions(v), threshold=NEAR).select("query_id", "id")
+    found = vectors.approximate_search(list_index(v), vector_questions(v), threshold=NEAR)
+    both = exact.join(found.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_exact"), F.countDistinct("query_id").alias("n_queries"),
+        (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("nine_in_ten"),
+    )
+
+
 @query("vec5_pair_similarity", f"""
     select p.left_id, p.right_id, {_cos('a.embedding', 'b.embedding')} similarity, false rejected
     from (select min(vec_id) over (partition by label) left_id, vec_id right_id from embeddings) p
@@ -164,12 +210,11 @@ def _(v: Views):
 
 
 @query("vec6_upsert", """
-    select id, case when label is null then 'old' else 'new' end version, length("name") n from (
-      select id, "name", case when manager_id is not null then 1 end label from hotels where description is not null
-      union all select id, "name", 1 from hotels where description is null and manager_id is not null) x""")
+    select doc_id id, case when manager_id is null then 'old' else 'new' end version, length("name") n
+    from described_hotels where description is not null or manager_id is not null""")
 def _(v: Views):
     """The store of described hotels takes in a fresh batch of the managed ones."""
-    hotels = v.described_hotels().select("id", "name", "manager_id", "description")
+    hotels = v.described_hotels().select(F.col("doc_id").alias("id"), "name", "manager_id", "description")
     old = hotels.filter("description is not null").select(
         "id", F.lit("old").alias("version"), F.length("name").alias("n")
     )
@@ -184,7 +229,8 @@ def _(v: Views):
              || 'Question: ' || b.text prompt, coalesce(sources, '') sources
     from benchmark b left join contexts c on c.query_id = b.item_id""")
 def _(v: Views):
-    return vectors.rag_prompts(questions(v), hotel_hits(v), hotel_texts(v), TEMPLATE, DEFAULT_QUESTION)
+    asked = questions(v)
+    return vectors.rag_prompts(asked, hits_of(v, asked), hotel_texts(v), TEMPLATE, DEFAULT_QUESTION)
 
 
 @query("vec7_template_defaults", """
@@ -203,18 +249,17 @@ def _(v: Views):
 
 @query("vec9_conversation_prompts", """
     select q.conv_id, memory || chr(10) || coalesce(context, '') || chr(10) || q.question prompt
-    from (select conv_id, arg_max(text, turn) question from conversations where role = 'user' group by 1) q
+    from last_questions q
     join (select conv_id, string_agg(role || ': ' || text, chr(10) order by turn) memory from (
             select *, row_number() over (partition by conv_id order by turn desc) rn from conversations) t
           where rn <= 20 group by 1) m on m.conv_id = q.conv_id
-    left join contexts c on c.query_id = q.conv_id""")
+    left join talk_contexts c on c.query_id = q.conv_id""")
 def _(v: Views):
-    """Each conversation's last question with its memory and the hits of the equally numbered passage."""
+    """Each conversation's last question with its memory and what that question retrieves."""
     turns = v.table("conversations")
-    last = turns.filter("role = 'user'").groupBy("conv_id").agg(
-        F.max_by("text", "turn").alias("question")
-    )
-    return vectors.conversation_prompts(last, turns, hotel_hits(v), hotel_texts(v))
+    last = vectors.last_questions(turns, DEFAULT_QUESTION)
+    hits = hits_of(v, last.withColumnRenamed("conv_id", "query_id"))
+    return vectors.conversation_prompts(last, turns, hits, hotel_texts(v))
 
 
 @query("vec10_call_trace", """
@@ -252,14 +297,16 @@ def _(v: Views):
 
 @query("join11_hybrid_retrieval", f"""
     select h.query_id, h.hotel_id, h.score, p.price_per_night, {sql_date("a.check_in")} check_in
-    from (select * from hotel_hits where "rank" <= 10) h join hotels p on p.id = h.hotel_id
+    from (select query_id, d.hotel_id, max(score) score from hotel_hits r join hotel_docs d on d.doc_id = r.id
+          where "rank" <= 10 group by 1, 2) h
+    join hotels p on p.id = h.hotel_id
     join (select item_id, date '2026-02-01' + cast(item_id as int) check_in,
                  date '2026-02-03' + cast(item_id as int) check_out from benchmark) a on a.item_id = h.query_id
     where p.price_per_night <= 400 and (
       select count(distinct inventory_date) from stock s where s.hotel_id = h.hotel_id and s.available_rooms > 0
         and s.room_type = 'SUITE' and s.inventory_date >= a.check_in and s.inventory_date < a.check_out) = 2""")
 def _(v: Views):
-    """Semantic candidates of each passage that are in budget and have a suite for both nights."""
+    """Hotels of each passage's ten nearest descriptions that are in budget and have a suite for both nights."""
     day = F.col("item_id").cast("int")
     stays = v.table("benchmark").select(
         F.col("item_id").alias("query_id"), F.lit("SUITE").alias("room_type"),
@@ -268,7 +315,11 @@ def _(v: Views):
         F.date_add(F.lit("2026-02-01").cast("date"), day).alias("check_in"),
         F.date_add(F.lit("2026-02-03").cast("date"), day).alias("check_out"),
     )
-    return hybrid_retrieval(hotel_hits(v, 10), stays, v.hotels(), stock(v)).select(
+    hotel_of = hotel_documents(v).select(F.col("doc_id").alias("id"), F.col("metadata.hotelId").alias("hotel_id"))
+    hits = hits_of(v, questions(v), 10).join(hotel_of, "id").groupBy("query_id", F.col("hotel_id").alias("id")).agg(
+        F.max("score").alias("score"), F.min("rank").alias("rank")
+    )
+    return hybrid_retrieval(hits, stays, v.hotels(), stock(v)).select(
         "query_id", "hotel_id", "score", "price_per_night", "check_in"
     )
 

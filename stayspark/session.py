@@ -63,3 +63,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint folder all executors share."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def session_folder(spark: SparkSession, name: str) -> str:
+    """A folder under the checkpoint folder that keeps its name for as long as the session lives."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: evaluated once, and of known size to the optimizer."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

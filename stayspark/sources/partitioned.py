@@ -34,24 +34,26 @@ def write_by_quarter(bookings: DataFrame, path: str, date_col: str = "check_in")
     )
 
 
+def read_by_quarter(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(f"{schema}, quarter string").parquet(path)
+
+
 def read_window(
     spark: SparkSession, path: str, schema: str, first: date, last: date, date_col: str = "check_in"
 ) -> DataFrame:
     """Rows with ``first <= date < last``; the derived quarter list prunes partitions."""
-    table = spark.read.schema(f"{schema}, quarter string").parquet(path)
+    table = read_by_quarter(spark, path, schema)
     c = F.col(date_col)
     return table.filter(
         F.col("quarter").isin(quarters_between(first, last)) & (c >= F.lit(first)) & (c < F.lit(last))
     )
 
 
-def rows_per_quarter(bookings: DataFrame, date_col: str = "check_in") -> DataFrame:
-    return (
-        bookings.groupBy(quarter_of(F.col(date_col)).alias("quarter"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def rows_per_partition(table: DataFrame, partition_col: str = "quarter") -> DataFrame:
+    """Rows of each partition of a written table: no column is read, the counts come from the files' footers."""
+    return table.groupBy(partition_col).agg(F.count(F.lit(1)).alias("n"))
 
 
 def rows_per_file(table: DataFrame) -> DataFrame:
-    """Physical view of the same question: rows per data file."""
-    return table.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    """The same by data file: (file, n)."""
+    return table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))

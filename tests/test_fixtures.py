@@ -6,6 +6,7 @@ import uuid
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,22 +242,57 @@ def test_vector_store(spark):
     assert vectors.similarity_search(store, asked.filter("false")).count() == 0
 
 
-def test_search_blocks_and_lsh_agree(spark):
+def vector_rows(n, width=16, seed=5):
     import random
 
-    rng = random.Random(5)
-    rows = [(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(300)]
-    rows.append((300, [1.0, 2.0]))
+    rng = random.Random(seed)
+    return [(i, [rng.gauss(0, 1) + (i % 6) * (d % 3) * 0.4 for d in range(width)]) for i in range(n)]
+
+
+def test_search_travels_or_is_laid_out_as_a_grid(spark, monkeypatch):
+    """The same answer whether the batch travels with the tasks or meets the store in tiles, of bounded size each."""
+    rows = vector_rows(300) + [(300, [1.0, 2.0]), (301, None), (302, [0.0] * 16)]
     store = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(5)
-    asked = store.filter("id >= 260").withColumnRenamed("id", "query_id")
+    asked = store.filter("id >= 240").withColumnRenamed("id", "query_id")
     key = lambda df: sorted((r.query_id, r.rank, r.id, r.score) for r in df.collect())
     whole = key(vectors.similarity_search(store, asked, k=3))
-    assert whole == key(vectors.similarity_search(store, asked, k=3, block_bytes=8 * 16 * 7))
-    assert (300, 1, 300, 1.0) in whole
-    near = key(vectors.approximate_search(store.filter("id < 300"), asked.filter("query_id < 300"), k=3))
-    every = {(q, i, s) for q, _, i, s in key(vectors.similarity_search(store, asked, k=400))}
-    assert {(q, i, s) for q, _, i, s in near} <= every
-    assert {(q, q) for q in range(260, 300)} <= {(q, i) for q, _, i, _ in near}
+    assert (300, 1, 300, 1.0) in whole and len(whole) > 150
+    for name, value in (("STRIPE_ROWS", 9), ("PART_ROWS", 17), ("TILE", 4)):
+        monkeypatch.setattr(vectors, name, value)
+    sizes = vectors.grid(store, asked, 63).applyInArrow(
+        lambda a, b: pa.table({"asked": [a.num_rows], "stored": [b.num_rows]}), "asked long, stored long"
+    ).collect()
+    assert max(r.asked for r in sizes) <= 3 * 9 and max(r.stored for r in sizes) <= 3 * 17 and len(sizes) == 7 * 18
+    assert sum(r.asked * r.stored for r in sizes) == 63 * 303
+    assert whole == key(vectors.similarity_search(store, asked, k=3))
+
+
+def test_inverted_lists(spark, monkeypatch, tmp_path):
+    """Scores are exact, all lists give the exact answer, and half of them find nine in ten."""
+    monkeypatch.setattr(vectors, "PART_ROWS", 40)
+    monkeypatch.setattr(vectors, "STRIPE_ROWS", 11)
+    store = spark.createDataFrame(vector_rows(600), "id long, embedding array<float>")
+    asked = store.filter("id % 10 = 0").withColumnRenamed("id", "query_id")
+    key = lambda df: {(r.query_id, r.rank, r.id, r.score) for r in df.collect()}
+    exact = key(vectors.similarity_search(store, asked, k=4, threshold=0.1))
+    index = vectors.build_lists(store, str(tmp_path / "lists"), lists=12, sample=200)
+    assert index.rows.count() == 600 and len(index.pieces) > 6
+    assert key(vectors.approximate_search(index, asked, k=4, threshold=0.1, probes=12)) == exact
+    near = key(vectors.approximate_search(index, asked, k=4, threshold=0.1, probes=6))
+    pairs = {(q, i, s) for q, _, i, s in exact}
+    assert len({(q, i, s) for q, _, i, s in near} & pairs) >= 0.9 * len(pairs)
+    plan = vectors.approximate_search(index, asked)._jdf.queryExecution().toString()
+    assert "list=" not in plan.split("ReadSchema")[-1]
+
+
+def test_last_questions(spark):
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "first"), (1, 1, "assistant", "answer"), (1, 2, "user", "second"), (1, 3, "assistant", "x"),
+         (2, 0, "user", "  "), (3, 0, "system", "rules"), (4, 0, "user", None)],
+        "conv_id long, turn int, role string, text string",
+    )
+    got = {r.conv_id: r.question for r in vectors.last_questions(turns, "Beach?").collect()}
+    assert got == {1: "second", 2: "Beach?", 3: "Beach?", 4: "Beach?"}
 
 
 def test_memory_and_prompts(spark):
@@ -303,6 +339,73 @@ def test_job_handler(spark):
     assert kept.count() == 0 and deleted.first().deleted == len(rows)
 
 
+def search_world(spark, n=400):
+    """Documents of common, middling and rare words; queries of many words, few words, unknown words and none."""
+    import random
+
+    rng = random.Random(3)
+    common, middling = [f"common{i}" for i in range(8)], [f"mid{i}" for i in range(60)]
+    rows = []
+    for i in range(n):
+        text = rng.choices(common, k=rng.randrange(5, 60)) + rng.choices(middling, k=6) + [f"rare{i % 150}"] * (i % 3)
+        rng.shuffle(text)
+        rows.append((i, "Inn " + rng.choice(["north", "south"]), f"c{i % 7}", " ".join(text), None, "x" if i % 2 else None, 50.0 + i % 90))
+    docs = spark.createDataFrame(rows, "id long, name string, city string, description string, amenities string, description_alt string, price_per_night double")
+    texts = [" ".join([f"rare{i * 11}", *rng.sample(middling, 5), *common[: 2 + i % 6]]) for i in range(12)]
+    texts += ["common0", "mid3 mid4", "rare5", "nothing known", " ", "inn north common1 common2"]
+    asked = [(i, t, "en" if i % 3 else "th") for i, t in enumerate(texts)]
+    return docs, spark.createDataFrame(asked, "query_id long, q string, lang string")
+
+
+@pytest.mark.parametrize("head", [0.2, 0.65, 1.0])
+def test_bounded_search_equals_all_scores(spark, monkeypatch, head):
+    monkeypatch.setattr(search, "HEAD", head)
+    docs, asked = search_world(spark)
+    index = search.build_index(docs)
+    everything = search.best_fields(search.field_scores(index, asked)).collect()
+    want = {}
+    for r in everything:
+        want.setdefault(r.query_id, []).append((-round(r.score, 6), r.doc_id))
+    got = {}
+    for r in search.search(index, docs, asked.filter("query_id <> 16"), k=7).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.doc_id))
+    assert got == {q: sorted(x)[:7] for q, x in want.items()}
+
+
+def test_bounded_search_with_filters(spark):
+    docs, asked = search_world(spark)
+    index = search.build_index(docs)
+    asked = asked.withColumn("city", F.when(F.col("query_id") % 2 == 0, F.lit("c3"))).withColumn("min_price", F.lit(60.0)).withColumn(
+        "max_price", F.when(F.col("query_id") % 3 == 0, F.lit(100.0)))
+    facts = {r.id: r for r in docs.collect()}
+    want = {}
+    scores = [(r.query_id, r.doc_id, r.score) for r in search.best_fields(search.field_scores(index, asked)).collect()]
+    scores += [(16, i, 1.0) for i in facts]
+    for q, d, s in scores:
+        f = facts[d]
+        if f.price_per_night >= 60 and (q % 3 or f.price_per_night <= 100) and (q % 2 or f.city == "c3"):
+            want.setdefault(q, []).append((-round(s, 6), d))
+    got = {}
+    for r in search.search(index, docs, asked, k=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.doc_id))
+    assert got == {q: sorted(x)[:5] for q, x in want.items()}
+
+
+def test_bounded_search_scores_few_documents_in_full(spark, monkeypatch):
+    """Most pairs of query and document never get past the head of the query's terms."""
+    docs, asked = search_world(spark)
+    index, full = search.build_index(docs), []
+    plain = search._from_documents
+
+    def counted(index, weights, rows):
+        full.append(rows.count())
+        return plain(index, weights, rows)
+
+    monkeypatch.setattr(search, "_from_documents", counted)
+    search.search(index, docs, asked.filter("query_id < 12"), k=5).collect()
+    assert sum(full) < 12 * docs.count() / 5
+
+
 def test_search_projection_and_highlights(spark):
     docs = spark.createDataFrame(
         [(1, "Palm Grove Hotel", "Phuket", "Quiet rooms. " * 20 + "Pools by the shores.", "pool", "โรงแรม", "ภูเก็ต", None, 120.0),

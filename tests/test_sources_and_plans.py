@@ -35,20 +35,66 @@ def test_quarter_partitions_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(quarter" in plan_of(window) or "quarter#" in plan_of(window).split("PartitionFilters: [")[1][:60]
     assert partitioned.quarters_between(first, last) == ["2026q2"]
     assert partitioned.quarters_between(date(2025, 12, 31), date(2026, 1, 2)) == ["2025q4", "2026q1"]
-    by_quarter = {r.quarter: r.n for r in partitioned.rows_per_quarter(stays).collect()}
-    assert sum(by_quarter.values()) == 2000
-    whole = spark.read.parquet(path)
-    assert sum(r.n for r in partitioned.rows_per_file(whole).collect()) == 2000
+    whole = partitioned.read_by_quarter(spark, path, "g long, check_in date")
+    counted = partitioned.rows_per_partition(whole)
+    assert {r.quarter: r.n for r in counted.collect()} == {
+        r.q: r.n for r in stays.groupBy(partitioned.quarter_of(F.col("check_in")).alias("q")).agg(F.count("*").alias("n")).collect()
+    }
+    assert "ReadSchema: struct<>" in plan_of(counted)
+    files = partitioned.rows_per_file(whole).collect()
+    assert sum(r.n for r in files) == 2000 and all("quarter=" in r.file for r in files)
+
+
+def test_registered_quarter_queries_read_the_written_table(spark):
+    plan = plan_of(entry.queries()["src10_quarter_window"](spark, FOLDER))
+    scan = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "quarter#" in scan and "2026q1,2026q2" in scan and "quarter=" not in scan
+    assert "hotel_id" in plan.split("ReadSchema")[-1] and "user_id" not in plan.split("ReadSchema")[-1]
+    assert "orders.parquet" not in plan
+    plan = plan_of(entry.queries()["src11_rows_per_partition"](spark, FOLDER))
+    assert "ReadSchema: struct<>" in plan and "orders.parquet" not in plan
 
 
 def test_snapshot_rebuild(spark, tmp_path):
     root = str(tmp_path / "index")
     assert snapshots.current_folder(spark, root) is None
-    snapshots.publish(spark.range(5), root, 1)
-    snapshots.publish(spark.range(3), root, 2)
+    snapshots.publish(spark.range(5), root)
+    snapshots.publish(spark.range(3), root)
     assert snapshots.read_current(spark, root, "id long").count() == 3
 
 
+def test_snapshot_swap_retention_and_failed_writes(spark, tmp_path):
+    root = str(tmp_path / "index")
+    for n in (4, 5, 6):
+        snapshots.publish(spark.range(n), root)
+    assert sorted(p for p in os.listdir(root) if p.startswith("v")) == ["v2", "v3"]
+
+    def breaks(folder):
+        spark.range(9).write.parquet(folder)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        snapshots.publish_folder(spark, root, breaks)
+    assert snapshots.read_current(spark, root, "id long").count() == 6
+    snapshots.publish(spark.range(7), root)  # over what the failed attempt left
+    assert snapshots.read_current(spark, root, "id long").count() == 7
+
+
+def test_snapshot_is_rebuilt_only_for_other_input(spark, tmp_path):
+    table, root, made = str(tmp_path / "t.parquet"), str(tmp_path / "index"), []
+
+    def write(folder):
+        made.append(folder)
+        spark.read.parquet(table).write.parquet(folder)
+
+    for n, builds in ((3, 1), (None, 1), (5, 2)):
+        if n:
+            spark.range(n).write.mode("overwrite").parquet(table)
+        snapshots.current_or_rebuilt(spark, root, snapshots.signature(spark, table), write)
+        assert len(made) == builds
+    assert snapshots.read_current(spark, root, "id long").count() == 5
+
+
 def test_topic_rows_round_trip(spark, tmp_path):
     changes = spark.createDataFrame(
         [("CREATED", 5, "H", "Berlin", 199.0)],
