@@ -7,15 +7,13 @@ from pyspark.sql import functions as F
 
 from stayspark.functions.columns import blank_to_null, once
 from stayspark.functions.payloads import is_valid_event, missing_fields, parse_error, parse_hotel_event
-from stayspark.functions.skew import broadcast_if_small, first_per_key, latest_per_key
+from stayspark.functions.skew import first_per_key, latest_per_key
 
 # Fixed values of the model.
 ATTEMPTS = 3
 DEAD_LETTER_TOPIC = "hotel-events-dlt"
 CONSUMER_GROUP = "hotel-status"
 
-_MAX_ID_BROADCAST = 2_000_000
-
 
 def parse_log(log: DataFrame) -> DataFrame:
     """Topic rows plus the parsed ``event`` struct and ``error`` (null when valid).
@@ -56,11 +54,10 @@ def to_processed(valid: DataFrame) -> DataFrame:
 def unseen(candidates: DataFrame, history: DataFrame, key: str = "event_id") -> DataFrame:
     """Candidates whose key the history does not hold, for all of history.
 
-    A small batch is broadcast to the history scan, which then reads one column and shuffles
-    nothing; a large one falls back to a shuffled anti-join.
+    History is first cut to keys that are asked for. Adaptive execution ships the keys to the history scan
+    where they are few, which then shuffles nothing, and sorts both sides otherwise.
     """
-    keys = broadcast_if_small(candidates.select(key).distinct(), _MAX_ID_BROADCAST)
-    seen = history.select(key).join(keys, key, "left_semi").distinct()
+    seen = history.select(key).join(candidates.select(key).distinct(), key, "left_semi").distinct()
     return candidates.join(seen, key, "left_anti")
 
 
@@ -104,11 +101,17 @@ def to_letters(bad: DataFrame, as_of: str | None = None) -> DataFrame:
 
 
 def retry(letters: DataFrame, requests: DataFrame, as_of: str) -> DataFrame:
-    """Letters after a batch of replay requests (letter_id, payload_override); ``replayed`` marks them."""
+    """Letters after a batch of replay requests (letter_id, payload_override[, seq]); ``replayed`` marks them.
+
+    Every request of a letter counts; the last override that is not blank stays, by ``seq``, or the
+    greatest text where requests carry no order.
+    """
     now = F.lit(as_of).cast("timestamp")
-    overrides = requests.groupBy("letter_id").agg(
-        F.max(blank_to_null(F.col("payload_override"))).alias("_override")
-    ).withColumn("_asked", F.lit(True))
+    text = blank_to_null(F.col("payload_override"))
+    order = F.struct(F.col("seq"), text) if "seq" in requests.columns else text
+    overrides = requests.filter("letter_id is not null").groupBy("letter_id").agg(
+        F.max_by(text, F.when(text.isNotNull(), order)).alias("_override"), F.count(F.lit(1)).cast("int").alias("_asked")
+    )
     joined = letters.join(overrides, "letter_id", "left").withColumn(
         "payload", F.coalesce("_override", "payload")
     )
@@ -124,7 +127,7 @@ def retry(letters: DataFrame, requests: DataFrame, as_of: str) -> DataFrame:
         "original_event_type": derived("eventType", "original_event_type"),
         "original_hotel_id": derived("hotelId", "original_hotel_id"),
         "retry_status": F.when(asked, "RETRIED").otherwise(F.col("retry_status")),
-        "retry_count": F.col("retry_count") + F.when(asked, 1).otherwise(0),
+        "retry_count": F.col("retry_count") + F.coalesce("_asked", F.lit(0)),
         "last_retried_at": F.when(asked, now).otherwise(F.col("last_retried_at")),
         "resolved_at": F.when(~asked, F.col("resolved_at")),
     }

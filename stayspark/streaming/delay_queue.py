@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from stayspark.functions.skew import first_per_key
-from stayspark.operators.events import unseen
 from stayspark.operators.jobs import schedule
-from stayspark.streaming.runtime import drain, read_batches, use_rocksdb, write_batch
+from stayspark.streaming.runtime import CLOCK, clock_before, drain, first_arrivals, read_batches, use_rocksdb, write_batch
 
 RELEASED = T.StructType(
     [
@@ -97,7 +95,6 @@ SCHEDULED = (
     " due_day timestamp"
 )
 RELEASES = "job_id string, routing_key string, payload string, execute_at timestamp"
-_CLOCK = "clock timestamp"
 
 
 def run_release(jobs: DataFrame, root: str, checkpoint: str) -> None:
@@ -106,29 +103,27 @@ def run_release(jobs: DataFrame, root: str, checkpoint: str) -> None:
     The clock is the newest creation time seen. A job is released by the first micro-batch whose
     clock reaches its due time: it became due since the previous clock, or it arrived just now and
     was due already. Pending jobs lie in one partition per due day, so a release reads the days
-    the clock passed and nothing else. No per-job Python runs; use it for bulk queues, and the
-    timers of ``release_stream`` for low latency.
+    the clock passed and nothing else. Ids are remembered in keyed state, see ``first_arrivals``. No per-job Python
+    runs; use it for bulk queues, and the timers of ``release_stream`` for low latency.
     """
     spark = jobs.sparkSession
+    first = first_arrivals(
+        schedule(jobs), "job_id", [F.col("created_at"), F.col("execute_at")], {"newest": F.max("created_at")}
+    )
 
     def release(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.filter("newest is not null").select("job_id", "fresh", "newest", "row.*").persist()
         try:
-            seen = read_batches(spark, f"{root}/clock", _CLOCK).filter(F.col("batch_id") < batch_id)
-            before = seen.agg(F.max("clock").alias("c")).first()["c"]
-            newest = batch.agg(F.max("created_at").alias("c")).first()["c"]
+            before = clock_before(spark, f"{root}/clock", batch_id)
+            newest = batch.agg(F.max("newest").alias("c")).first()["c"]
             now = max(c for c in (before, newest) if c is not None) if before or newest else None
             if now is None:
                 return
-            first = first_per_key(schedule(batch), ["job_id"], [F.col("created_at")]).select(
+            fresh = batch.filter("fresh").select(
                 "job_id", "routing_key", "payload", "created_at", "execute_at",
                 F.date_trunc("day", "execute_at").alias("due_day"),
             )
-            history = read_batches(spark, f"{root}/pending", SCHEDULED).filter(
-                F.col("batch_id") < batch_id
-            )
-            fresh = unseen(first, history, "job_id").repartitionByRange("execute_at")
-            fresh.write.mode("overwrite").partitionBy("due_day").parquet(
+            fresh.repartitionByRange("execute_at").write.mode("overwrite").partitionBy("due_day").parquet(
                 f"{root}/pending/batch_id={batch_id}"
             )
             pending = read_batches(spark, f"{root}/pending", SCHEDULED)
@@ -144,11 +139,11 @@ def run_release(jobs: DataFrame, root: str, checkpoint: str) -> None:
             write_batch(
                 due.select("job_id", "routing_key", "payload", "execute_at"), f"{root}/released", batch_id
             )
-            write_batch(spark.createDataFrame([(now,)], _CLOCK), f"{root}/clock", batch_id)
+            write_batch(spark.createDataFrame([(now,)], CLOCK), f"{root}/clock", batch_id)
         finally:
             batch.unpersist()
 
-    drain(jobs.writeStream.foreachBatch(release), checkpoint)
+    drain(first.writeStream.outputMode("update").foreachBatch(release), checkpoint)
 
 
 def released(spark: SparkSession, root: str) -> DataFrame:

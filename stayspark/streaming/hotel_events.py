@@ -1,7 +1,7 @@
 """The hotel-event consumer: idempotent consume, dead letters, replay.
 
-Tables under one root, all written per micro-batch: ``processed``, ``letters``, ``resolved`` (event
-ids that closed a letter); plus ``retries``, written by replay requests.
+Tables under one root: ``processed`` and ``letters``, written per micro-batch, and ``retries``, written by replay
+requests. A micro-batch reads none of them; whether a letter is resolved is worked out when letters are read.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stayspark.operators import events
 from stayspark.sources.topics import append_to_folder
-from stayspark.streaming.runtime import drain, read_batches, write_batch
+from stayspark.streaming.runtime import drain, first_arrivals, read_batches, write_batch
 
 PROCESSED = (
     "event_id string, schema_version int, event_type string, hotel_id bigint, hotel_name string,"
@@ -27,9 +27,8 @@ LETTERS = (
 )
 RETRIES = (
     "letter_id string, payload string, original_event_id string, original_event_type string,"
-    " original_hotel_id bigint, retried_at timestamp"
+    " original_hotel_id bigint, retried_at timestamp, retry_count int"
 )
-RESOLVED = "event_id string, resolved_at timestamp"
 
 
 def as_log(messages: DataFrame) -> DataFrame:
@@ -44,50 +43,24 @@ def as_log(messages: DataFrame) -> DataFrame:
 def consume_stream(messages: DataFrame, root: str, checkpoint: str) -> None:
     """Drain a topic stream into the tables.
 
-    An event id is processed once, however late a delivery comes: the first delivery of a micro-batch by
-    (partition, offset) is checked against everything processed before it, and nothing is dropped for
-    its age. A broken record becomes a letter; topic, partition and offset name it.
+    An event id is processed once, however late a delivery comes: first deliveries are kept in keyed state, see
+    ``first_arrivals``. A broken record becomes a letter; topic, partition and offset name it.
     """
-    spark = messages.sparkSession
-    good_or_bad = events.parse_log(as_log(messages))
+    place = F.concat_ws("-", F.lit("place"), "topic", F.col("partition_id").cast("string"), F.col("kafka_offset").cast("string"))
+    parsed = events.parse_log(as_log(messages))
+    valid = F.col("error").isNull()
+    keyed = parsed.withColumn("_key", F.when(valid, F.concat(F.lit("event-"), F.col("event.eventId"))).otherwise(place))
+    first = first_arrivals(keyed, "_key", [F.col("partition_id"), F.col("kafka_offset")])
 
     def settle_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.filter("fresh").select("row.*").persist()
         try:
-            first = events.first_per_key(
-                events.to_processed(batch.filter("error is null")),
-                ["event_id"], [F.col("partition_id"), F.col("kafka_offset")],
-            )
-            history = read_batches(spark, f"{root}/processed", PROCESSED).filter(
-                F.col("batch_id") < batch_id
-            )
-            write_batch(events.unseen(first, history), f"{root}/processed", batch_id)
-            write_batch(
-                events.to_letters(batch.filter("error is not null")), f"{root}/letters", batch_id
-            )
-            fresh = read_batches(spark, f"{root}/processed", PROCESSED).filter(
-                F.col("batch_id") == batch_id
-            )
-            waiting = letter_ids(spark, root)
-            closed = fresh.select("event_id", F.col("occurred_at").alias("resolved_at")).join(
-                waiting, "event_id", "left_semi"
-            )
-            write_batch(closed, f"{root}/resolved", batch_id)
+            write_batch(events.to_processed(batch.filter("error is null")), f"{root}/processed", batch_id)
+            write_batch(events.to_letters(batch.filter("error is not null")), f"{root}/letters", batch_id)
         finally:
             batch.unpersist()
 
-    drain(good_or_bad.writeStream.foreachBatch(settle_batch), checkpoint)
-
-
-def letter_ids(spark: SparkSession, root: str) -> DataFrame:
-    """Event ids that letters are known under, after replays."""
-    letters = read_batches(spark, f"{root}/letters", LETTERS).select("original_event_id")
-    retried = read_batches(spark, f"{root}/retries", RETRIES).select("original_event_id")
-    return (
-        letters.unionByName(retried)
-        .filter("original_event_id is not null")
-        .select(F.col("original_event_id").alias("event_id"))
-    )
+    drain(first.writeStream.outputMode("update").foreachBatch(settle_batch), checkpoint)
 
 
 def request_replay(
@@ -99,7 +72,7 @@ def request_replay(
     try:
         rows = retried.select(
             "letter_id", "payload", "original_event_id", "original_event_type", "original_hotel_id",
-            F.col("last_retried_at").alias("retried_at"),
+            F.col("last_retried_at").alias("retried_at"), "retry_count",
         )
         write_batch(rows, f"{root}/retries", run)
         # Offsets of replayed messages are new; they follow the letter's, run by run.
@@ -116,40 +89,43 @@ def request_replay(
 
 def current_letters(spark: SparkSession, root: str) -> DataFrame:
     """Letters with the effect of replays and of later successes."""
-    letters = read_batches(spark, f"{root}/letters", LETTERS).drop("batch_id")
+    letters = read_batches(spark, f"{root}/letters", LETTERS).withColumnRenamed("batch_id", "_batch")
     retries = read_batches(spark, f"{root}/retries", RETRIES)
     last = retries.groupBy("letter_id").agg(
         F.max_by(
-            F.struct("payload", "original_event_id", "original_event_type", "original_hotel_id", "retried_at"),
+            F.struct("payload", "original_event_id", "original_event_type", "original_hotel_id", "retried_at", "retry_count"),
             "batch_id",
         ).alias("r"),
-        F.count(F.lit(1)).cast("int").alias("n"),
     )
     joined = letters.join(last, "letter_id", "left")
-    asked = F.col("n").isNotNull()
+    asked = F.col("r").isNotNull()
     effective = joined.select(
         *[
             F.when(asked, F.col(f"r.{c}")).otherwise(F.col(c)).alias(c)
             if c in ("payload", "original_event_id", "original_event_type", "original_hotel_id")
             else F.when(asked, "RETRIED").otherwise(F.col(c)).alias(c) if c == "retry_status"
-            else (F.col(c) + F.coalesce("n", F.lit(0))).alias(c) if c == "retry_count"
+            else F.coalesce("r.retry_count", c).alias(c) if c == "retry_count"
             else F.when(asked, F.col("r.retried_at")).otherwise(F.col(c)).alias(c) if c == "last_retried_at"
             else F.col(c)
             for c in letters.columns
         ]
     )
-    closed = read_batches(spark, f"{root}/resolved", RESOLVED).groupBy(
-        F.col("event_id").alias("original_event_id")
-    ).agg(F.max("resolved_at").alias("_at"))
-    # A success closes the letter unless it was asked for again after that.
-    answers = F.col("_at").isNotNull() & (F.col("last_retried_at").isNull() | (F.col("_at") >= F.col("last_retried_at")))
-    final = effective.join(closed, "original_event_id", "left").withColumn("_at", F.when(answers, F.col("_at")))
+    # A success closes a letter that was there by then, unless it was asked for again after that.
+    done = read_batches(spark, f"{root}/processed", PROCESSED).select(
+        F.col("event_id").alias("original_event_id"), F.col("occurred_at").alias("_at"), F.col("batch_id").alias("_done")
+    )
+    named = effective.filter("original_event_id is not null")
+    joined = named.join(done, "original_event_id", "left")
+    answers = F.when(F.col("last_retried_at").isNull(), F.col("_done") >= F.col("_batch")).otherwise(F.col("_at") >= F.col("last_retried_at"))
+    nameless = effective.filter("original_event_id is null").withColumn("_at", F.lit(None).cast("timestamp"))
+    final = joined.withColumn("_at", F.when(answers, F.col("_at"))).select(*effective.columns, "_at").unionByName(nameless)
     return final.select(
         *[
             F.when(F.col("_at").isNotNull(), "RESOLVED").otherwise(F.col(c)).alias(c) if c == "retry_status"
             else F.coalesce("_at", c).alias(c) if c == "resolved_at"
             else F.col(c)
             for c in letters.columns
+            if c != "_batch"
         ]
     )
 

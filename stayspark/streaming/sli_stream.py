@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from stayspark.operators.sli import FAST_MS, SECOND, ratio
-from stayspark.streaming.runtime import drain, read_batches, use_rocksdb, write_batch
+from stayspark.streaming.runtime import CLOCK, clock_before, drain, read_batches, use_rocksdb, write_batch
 
 
 def windowed_slis(
@@ -38,6 +38,54 @@ def windowed_slis(
     )
 
 
+_COUNTS = "window_end timestamp, n bigint, fast bigint, failed bigint, late bigint"
+
+
+def run_window_counts(
+    requests: DataFrame, keys: list[str], folder: str, checkpoint: str, window: str = "5 minutes", slide: str = "15 seconds",
+    delay: str = "1 minute", fast_ms: float = FAST_MS,
+) -> None:
+    """Drain requests into counts per key and sliding window, one addition per micro-batch.
+
+    Counts add up, so a sample that comes behind the clock (the newest instant seen, less ``delay``) corrects its
+    windows like any other, whenever it comes; it is only counted as ``late``. No state is kept and a micro-batch reads
+    nothing but the clock.
+    """
+    spark = requests.sparkSession
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            before = clock_before(spark, f"{folder}/clock", batch_id)
+            newest = batch.agg(F.max("ts").alias("c")).first()["c"]
+            now = max((c for c in (before, newest) if c is not None), default=None)
+            limit = F.lit(before).cast("timestamp") - F.expr(f"interval {delay}")
+            counts = batch.withColumn("_late", F.coalesce(F.col("ts") < limit, F.lit(False))).groupBy(
+                F.window("ts", window, slide).alias("w"), *keys
+            ).agg(
+                F.count(F.lit(1)).alias("n"), F.count_if(F.col("latency_ms") < fast_ms).alias("fast"),
+                F.count_if(F.col("status") >= 500).alias("failed"), F.count_if("_late").alias("late"),
+            )
+            write_batch(counts.select(*keys, F.col("w.end").alias("window_end"), "n", "fast", "failed", "late"), f"{folder}/counts", batch_id)
+            if now is not None:
+                write_batch(spark.createDataFrame([(now,)], CLOCK), f"{folder}/clock", batch_id)
+        finally:
+            batch.unpersist()
+
+    drain(requests.writeStream.foreachBatch(add), checkpoint)
+
+
+def counted_slis(spark: SparkSession, folder: str, keys: dict[str, str]) -> DataFrame:
+    """(keys, window_end, n, late, latency_sli, availability_sli) of everything counted so far; ``keys``: name -> type."""
+    schema = ", ".join([*[f"{k} {t}" for k, t in keys.items()], _COUNTS])
+    rows = read_batches(spark, f"{folder}/counts", schema)
+    summed = rows.groupBy(*keys, "window_end").agg(*[F.sum(c).alias(c) for c in ("n", "fast", "failed", "late")])
+    return summed.select(
+        *keys, "window_end", "n", "late", ratio(F.col("fast"), F.col("n")).alias("latency_sli"),
+        ratio(F.col("n") - F.col("failed"), F.col("n")).alias("availability_sli"),
+    )
+
+
 def run_slis(slis: DataFrame, folder: str, checkpoint: str) -> None:
     """Update mode: each micro-batch writes the windows it changed."""
     writer = slis.writeStream.outputMode("update").foreachBatch(
