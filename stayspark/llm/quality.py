@@ -29,6 +29,8 @@ SUBSET = 0.75
 STEPS = 4
 MIN_GROUP = 200
 MIN_FIT = 20
+#: Rejected keys that are broadcast at most: two longs and a flag each.
+BROADCAST_ROWS = 500_000
 #: Standard deviations that are taken for granted, per statistic.
 FLOOR = (0.05, 0.03, 0.12, 0.10)
 #: Scatter of the central 75 % of a four-dimensional normal distribution, inverted.
@@ -186,10 +188,15 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
+    """The rows of ``docs`` that are kept, with their columns.
+
+    Up to ``BROADCAST_ROWS`` rejected keys (of fixed width, some 20 MB) go to the texts; more of them meet the texts in a shuffle.
+    """
     rejected = judge(docs).where(~F.col("kept"))
     rejected = rejected.select(F.coalesce("doc_id", F.lit(0)).alias("qr_id"), F.col("doc_id").isNull().alias("qr_null"), "qr_tie").distinct()
     rejected = written(rejected, "quality-rejected")
+    if rejected.count() <= BROADCAST_ROWS:
+        rejected = F.broadcast(rejected)
     marked = _named(docs).withColumns(
         {"qr_id": F.coalesce("doc_id", F.lit(0)), "qr_null": F.col("doc_id").isNull(), "qr_tie": F.xxhash64("text", "qr_lang", "qr_source")}
     )

@@ -85,8 +85,17 @@ def test_prefixes_by_hand(spark):
         order = sorted(found, key=lambda x: (x & 1, len(of[x]) > 1 and not x & 1, 0 if x & 1 or len(of[x]) == 1 else rows[x], x))
         size = len(found) - -(-len(found) * 4 // 5) + 1 if found else 0
         expected |= {(x, node, len(found), i) for i, x in enumerate(order[:size]) if len(of[x]) > 1}
-    facts = near.nodes(docs).where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("even").alias("even"))
-    assert {tuple(r) for r in near.prefixes(near.elements(docs), facts).collect()} == expected
+    facts = near.nodes(docs).where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("even").alias("even"), F.first("bits").alias("bits"))
+    assert {tuple(r)[:4] for r in near.prefixes(near.elements(docs), facts).collect()} == expected
+
+
+def test_signatures_bound_what_is_common():
+    rng = np.random.default_rng(3)
+    for n in (5, 80, 400, 3000):
+        a = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+        b = np.unique(np.r_[a[: n // 2], rng.integers(-(2**63), 2**63 - 1, n // 2)])
+        only = np.bitwise_count(near.signature(a).view(np.uint64) & ~near.signature(b).view(np.uint64)).sum()
+        assert len(np.intersect1d(a, b)) <= len(a) - only and (n > 400 or only > 0)
 
 
 def test_shared_passages_make_few_candidates(spark):
@@ -94,14 +103,14 @@ def test_shared_passages_make_few_candidates(spark):
     passage = " ".join(f"p{i}" for i in range(100))
     texts = [" ".join(f"t{k}x{i}" for i in range(300)) + " " + passage for k in range(200)]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
-    facts = near.nodes(docs).groupBy("node").agg(F.first("n").alias("n"), F.first("even").alias("even"))
+    facts = near.nodes(docs).groupBy("node").agg(F.first("n").alias("n"), F.first("even").alias("even"), F.first("bits").alias("bits"))
     assert near.prefixes(near.elements(docs), facts).count() == 0
     assert near.keep_one(docs).count() == 200
 
 
 def test_counts_and_join_share_one_shuffle(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts_of(random.Random(11)))], SCHEMA)
-    facts = near.nodes(docs).groupBy("node").agg(F.first("n").alias("n"), F.first("even").alias("even"))
+    facts = near.nodes(docs).groupBy("node").agg(F.first("n").alias("n"), F.first("even").alias("even"), F.first("bits").alias("bits"))
     found = near.prefixes(near.elements(docs), facts)
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString()
