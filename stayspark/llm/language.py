@@ -17,6 +17,7 @@ of documents.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,9 @@ SAMPLE = 1500
 CENTROIDS = 4
 MARGIN = 0.5
 BATCH = 128
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Signs that Python counts to words and that are neither letters nor digits: powers, fractions, numbers in circles, ...
+NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+NOT_LETTERS = re.compile(rf"[\W\d_{re.escape(NUMERALS)}]+")
 
 
 def held_out(doc_id: str, folds: int, fold: int) -> Column:

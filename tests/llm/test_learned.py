@@ -76,3 +76,11 @@ def test_toxicity_without_labels_and_empty(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert [r.predicted for r in toxicity.predict_toxicity(docs, none).collect()] == [0]
     assert toxicity.predict_toxicity(spark.createDataFrame([], SCHEMA), none).count() == 0
+
+
+def test_letters_are_what_python_calls_letters():
+    for sign in map(chr, [*range(0x3000), 0x2460, 0x3405, 0x10400, 0x1D7CE]):
+        if not 0xD800 <= ord(sign) < 0xE000:
+            low = sign.lower()
+            assert (language.counts(sign) is not None) == any(c.isalpha() for c in low), hex(ord(sign))
+    assert language.counts("² ½ ① _ 7") is None and language.counts("²x") is not None
