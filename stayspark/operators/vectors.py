@@ -64,21 +64,18 @@ def retrieval_documents(hotels: DataFrame, id_prefix: str = "hotel-", key: str =
 def embed_words(df: DataFrame, key: str, text: str, dimensions: int = DIMENSIONS) -> DataFrame:
     """Hashed bag of words of the whole text: (key, embedding). No words: the first bucket is 1.
 
-    Words are counted per document before hashing; what is gathered per document is at most one
-    entry per dimension.
+    ``key`` is unique. Texts are dealt out by it once; words are counted per document, hashed and gathered in the task they came
+    to. What is gathered per document is at most one entry per dimension.
     """
-    hits = (
-        df.select(key, F.explode(words(F.col(text))).alias("w"))
-        .groupBy(key, word_bucket(F.col("w"), dimensions).alias("b"))
-        .agg(F.count(F.lit(1)).cast("double").alias("n"))
-    )
-    filled = hits.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("b", "n"))).alias("m"))
+    word = F.explode_outer(words(F.col(text))).alias("w")
+    counted = df.select(key, text).repartition(key).select(key, word).groupBy(key, "w").agg(F.count("w").alias("n"))
+    hits = counted.groupBy(key, word_bucket(F.col("w"), dimensions).alias("b")).agg(F.sum("n").cast("double").alias("n"))
+    entry = F.when(F.col("b").isNotNull(), F.struct("b", "n"))
+    filled = hits.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
     buckets = F.sequence(F.lit(0), F.lit(dimensions - 1))
     dense = F.transform(buckets, lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
     empty = F.transform(buckets, lambda i: F.when(i == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    return df.select(key).join(filled, key, "left").select(
-        key, F.when(F.col("m").isNull(), empty).otherwise(dense).alias("embedding")
-    )
+    return filled.select(key, F.when(F.size("m") == 0, empty).otherwise(dense).alias("embedding"))
 
 
 def embed_with(

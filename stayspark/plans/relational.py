@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from stayspark.functions.columns import csv_items, once
-from stayspark.operators import aggs, filters, joins, ranking
+from stayspark.operators import aggs, filters, joins, ranking, settlement
 from stayspark.plans.registry import Registry, sql_date, sql_ts
 from stayspark.session import session_folder
 from stayspark.sources import generate, metrics, partitioned, snapshots, topics
@@ -609,12 +609,18 @@ def _(v: Views):
     from priced_bookings b join hotels h on h.id = b.hotel_id join users u on u.id = b.user_id
     where status = 'CONFIRMED' order by b.check_in, b.id limit 20""")
 def _(v: Views):
-    """Confirmed stays with hotel, guest and price: first page by check-in."""
-    stays = filters.bookings_matching(v.priced_bookings(), status="CONFIRMED")
-    graph = joins.booking_rows(joins.booking_graph(stays, v.hotels(), v.users())).select(
-        "id", "username", "hotel_name", "room_type", "check_in", "check_out", "total_price"
-    )
-    return ranking.page(graph, 0, 20, F.asc("check_in"), F.asc("id"))
+    """Confirmed stays with hotel, guest and price: first page by check-in.
+
+    The page and its totals come from the stays alone; hotel, guest and price are looked up for its rows.
+    """
+    stays = filters.bookings_matching(v.bookings(), status="CONFIRMED")
+    first = ranking.page(stays, 0, 20, F.asc("check_in"), F.asc("id"))
+    hotels = v.hotels()
+    graph = joins.booking_graph(settlement.priced(first, hotels), hotels, v.users())
+    return graph.select(
+        "id", "username", "hotel_name", "room_type", "check_in", "check_out", "total_price", "total_elements", "page",
+        "page_size", "total_pages", "last",
+    ).orderBy("check_in", "id")
 
 
 @query("page1_users_by_role", """

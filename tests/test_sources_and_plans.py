@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from stayspark.operators import filters
+from stayspark.operators import filters, search, vectors
 from stayspark.schemas import LODGING_TABLES, SAAS_PLANS
 from stayspark.sources import generate, metrics, partitioned, snapshots, tables, topics
 
@@ -170,3 +170,27 @@ def test_pushdown_and_pruning(spark, tmp_path):
 def test_top_lists_are_limited_before_the_shuffle(spark):
     assert "TakeOrderedAndProject" in plan_of(entry.queries()["top1_newest_events"](spark, FOLDER))
     assert "WindowGroupLimit" in plan_of(entry.queries()["win2_recent_turns"](spark, FOLDER))
+
+
+def test_page_is_cut_before_anything_is_joined(spark):
+    df = entry.queries()["page1_booking_page"](spark, FOLDER)
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    at = next(i for i, line in enumerate(lines) if "GlobalLimit" in line)
+    below = [x for x in lines[at + 1 :] if depth(x) > depth(lines[at])]
+    assert any("Join" in x for x in lines[:at]) and not any("Join" in x for x in below[:12])
+    assert df.orderBy("check_in", "id").collect() == df.collect()
+
+
+def test_embedding_shuffles_texts_once(spark):
+    texts = spark.createDataFrame([(1, "a b a"), (2, " "), (3, None)], "id long, text string")
+    made = vectors.embed_words(texts, "id", "text", 8)
+    assert plan_of(made).split("== Physical Plan ==")[1].count("Exchange") == 1
+    assert {r.id: sum(r.embedding) for r in made.collect()} == {1: 3.0, 2: 1.0, 3: 1.0}
+
+
+def test_index_deals_texts_out_once(spark):
+    docs = spark.createDataFrame([(1, "inn", "free bar bars")], "id long, name string, description string")
+    made = search.postings_of(docs)
+    assert plan_of(made).split("== Physical Plan ==")[1].count("Exchange") == 1
+    assert {(r.field, r.term, r.tf, r.len) for r in made.collect()} == {("name", "inn", 1, 1), ("description", "free", 1, 3), ("description", "bar", 2, 3)}
