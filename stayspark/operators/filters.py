@@ -58,8 +58,9 @@ def hotels_matching_batch(
     named = hotels.withColumn("_city", F.lower("city")).join(
         wanted.filter("_city is not null"), "_city"
     )
-    low = F.coalesce(F.col("min_price"), hotels.agg(F.min("price_per_night").alias("v")).scalar())
-    high = F.coalesce(F.col("max_price"), hotels.agg(F.max("price_per_night").alias("v")).scalar())
+    # Steps without a stored price are not made, whatever a request asks for; greatest and least skip nulls.
+    low = F.greatest("min_price", hotels.agg(F.min("price_per_night").alias("v")).scalar())
+    high = F.least("max_price", hotels.agg(F.max("price_per_night").alias("v")).scalar())
     ranged = wanted.filter("_city is null").withColumn("_low", low).withColumn("_high", high)
     stepped = ranged.filter("_low <= _high").withColumn(
         "_step", F.explode(F.sequence(step(F.col("_low")), step(F.col("_high"))))

@@ -361,8 +361,18 @@ def explain_fields(scores: DataFrame) -> DataFrame:
 
 
 # ---- highlights ----------------------------------------------------------------------------------
+#: Scripts that write words without spaces between them, as regular-expression classes.
+UNSPACED = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsHan}\p{IsHiragana}\p{IsKatakana}"
+_WORD = r"\p{L}\p{M}\p{N}"
+
+
 def _pattern(tokens: Column, english: bool) -> Column:
-    """Whole-word alternation of the query words, with the word forms the stemmer folds together."""
+    """What marks the query words in a text, null if nothing can.
+
+    Whole words, with the word forms that the stemmer folds together. In second-locale fields also runs of the query's
+    character pairs, as these fields are indexed, where a script has no spaces: each place of the run begins a pair, so overlapping
+    pairs are one hit.
+    """
     if english:
         stems = F.array_distinct(
             F.transform(F.filter(tokens, lambda w: ~is_stop_word(w)), lambda w: stem(w))
@@ -373,13 +383,24 @@ def _pattern(tokens: Column, english: bool) -> Column:
                 t.endswith("y"), F.concat(t, F.lit("s?|"), F.left(t, F.length(t) - 1), F.lit("ies"))
             ).otherwise(F.concat(t, F.lit("s?"))),
         )
+        unspaced = F.array().cast("array<string>")
     else:
         forms = F.array_distinct(tokens)
-    body = F.array_join(forms, "|")
-    pattern = F.concat(
-        F.lit(r"(?iu)(?<![\p{L}\p{M}\p{N}])("), body, F.lit(r")(?![\p{L}\p{M}\p{N}])")
-    )
-    return F.when(F.size(forms) > 0, pattern)
+        unspaced = F.array_distinct(F.flatten(F.transform(F.filter(tokens, lambda w: w.rlike(f"^[{UNSPACED}]{{2,}}$")), pairs)))
+    whole = F.concat(F.lit(f"(?<![{_WORD}])(?:"), F.array_join(forms, "|"), F.lit(f")(?![{_WORD}])"))
+    runs = F.concat(F.lit("(?:(?="), F.array_join(unspaced, "|"), F.lit(").)+."))
+    body = F.when(F.size(unspaced) > 0, F.concat(runs, F.lit("|"), whole)).otherwise(whole)
+    return F.when(F.size(forms) > 0, F.concat(F.lit("(?iu)("), body, F.lit(")")))
+
+
+def _at_borders(text: Column, start: Column) -> Column:
+    """``FRAGMENT_CHARS`` characters from ``start``, without the parts of words that the cut left at either end (words of up
+    to 20 characters; longer runs, as in scripts without spaces, stay)."""
+    cut = F.substring(text, start, F.lit(FRAGMENT_CHARS))
+    inside = (start > 1) & F.substring(text, start - 1, F.lit(1)).rlike(f"[{_WORD}]")
+    cut = F.when(inside, F.regexp_replace(cut, f"^[{_WORD}]{{1,20}}(?![{_WORD}])", "")).otherwise(cut)
+    goes_on = F.substring(text, start + FRAGMENT_CHARS, F.lit(1)).rlike(f"[{_WORD}]")
+    return F.trim(F.when(goes_on, F.regexp_replace(cut, f"(?<![{_WORD}])[{_WORD}]{{1,20}}$", "")).otherwise(cut))
 
 
 def highlights(hits: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFrame:
@@ -408,7 +429,7 @@ def highlights(hits: DataFrame, docs: DataFrame, queries: DataFrame) -> DataFram
     )
     first = F.regexp_instr("text", "pattern")
     start = F.greatest(F.lit(1), F.col("first") - FRAGMENT_CHARS // 2)
-    cut = F.substring(F.col("text"), start, F.lit(FRAGMENT_CHARS))
+    cut = _at_borders(F.col("text"), start)
     return (
         rows.withColumn("first", first)
         .filter("first > 0")

@@ -141,6 +141,13 @@ def by_name(name: str, values: dict) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), F.col(name))
 
 
+def rule_columns(rules: dict[str, tuple]) -> tuple[Column, Column, Column]:
+    """(in alert, seconds to hold, severity) of rows with ``sli`` and ``value``."""
+    side, bound, hold, severity = (by_name("sli", {k: r[i] for k, r in rules.items()}) for i in range(4))
+    bad = F.when(side == "above", F.col("value") > bound).otherwise(F.col("value") < bound)
+    return bad, hold, severity
+
+
 def service_alerts(
     indicators: DataFrame, keys: list[str], step_s: int = 15, rules: dict[str, tuple] = SERVICE_ALERTS
 ) -> DataFrame:
@@ -148,8 +155,7 @@ def service_alerts(
 
     An indicator without a rule or without a value is never in alert.
     """
-    side, bound, hold, severity = (by_name("sli", {k: r[i] for k, r in rules.items()}) for i in range(4))
-    bad = F.when(side == "above", F.col("value") > bound).otherwise(F.col("value") < bound)
+    bad, hold, severity = rule_columns(rules)
     return alerts(indicators, [*keys, "sli"], bad, hold, step_s).withColumn("severity", severity)
 
 

@@ -186,7 +186,7 @@ def _(v: Views):
     return sli.alerts(ratios, ["uri"], F.col("latency_sli") < 0.5, 2 * STEP, STEP)
 
 
-@query("sli6_service_alerts", f"""
+SERVICE_ALERTS_SQL = f"""
     select uri, sli, step, since, case when step - since >= hold * 1000000 then 'firing' else 'pending' end state, severity
     from (select *, min(step) over (partition by uri, sli, island) since from (
       select *, sum(begins) over (partition by uri, sli order by step) island from (
@@ -197,9 +197,11 @@ def _(v: Views):
                 ('heap', false, 0.99e0, 120, 'warning'), ('kafka_lag', false, 0.99e0, 60, 'warning'),
                 ('eviction', false, 0.99e0, 60, 'warning'), ('deadlock', true, 0e0, 30, 'info'))
                 r(sli, upper, bound, hold, severity) on r.sli = i.sli) x
-        window w as (partition by uri, sli order by step)) f) g where bad) h""")
-def _(v: Views):
-    """The six service alerts per address."""
+        window w as (partition by uri, sli order by step)) f) g where bad) h"""
+
+
+def indicators(v: Views):
+    """(uri, sli, step, value) of the six service alerts."""
     latency = sli.request_ratios(v.requests(), ["uri"], WINDOW, STEP, 20)
     last = sli.resample(v.requests().withColumnRenamed("latency_ms", "value"), ["uri"], STEP, "event_id")
     each = F.explode(F.array(*[F.struct(F.lit(g).alias("sli"), (F.col("value") * s).alias("value")) for g, s in GAUGE_SCALES.items()]))
@@ -207,11 +209,17 @@ def _(v: Views):
     gauges = sli.share_of_time(gauges, ["uri", "sli"], F.col("value") < sli.by_name("sli", sli.GAUGE_BOUNDS), WINDOW, STEP)
     quiet = sli.quiet_share(counters(v), ["uri"], order(), 2 * STEP, WINDOW, STEP)
     moving = sli.rate(counters(v), ["uri"], order(), WINDOW, STEP)
-    indicators = latency.select("uri", F.lit("latency").alias("sli"), "step", F.col("latency_sli").alias("value"))
-    indicators = indicators.unionByName(gauges.withColumnRenamed("good_share", "value"))
-    indicators = indicators.unionByName(quiet.select("uri", F.lit("eviction").alias("sli"), "step", F.col("good_share").alias("value")))
-    indicators = indicators.unionByName(moving.select("uri", F.lit("deadlock").alias("sli"), "step", F.col("rate").alias("value")))
-    return sli.service_alerts(indicators, ["uri"], STEP)
+    found = latency.select("uri", F.lit("latency").alias("sli"), "step", F.col("latency_sli").alias("value"))
+    found = found.unionByName(gauges.withColumnRenamed("good_share", "value"))
+    found = found.unionByName(quiet.select("uri", F.lit("eviction").alias("sli"), "step", F.col("good_share").alias("value")))
+    found = found.unionByName(moving.select("uri", F.lit("deadlock").alias("sli"), "step", F.col("rate").alias("value")))
+    return found
+
+
+@query("sli6_service_alerts", SERVICE_ALERTS_SQL)
+def _(v: Views):
+    """The six service alerts per address."""
+    return sli.service_alerts(indicators(v), ["uri"], STEP)
 
 
 @query("sli7_histogram_quantile", """

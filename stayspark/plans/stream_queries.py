@@ -11,10 +11,13 @@ from stayspark.sources.topics import append_to_folder, file_stream
 from stayspark.sources.views import Views
 from stayspark.streaming import hotel_events
 from stayspark.streaming.delay_queue import released, run_release
-from stayspark.session import shared_folder
-from stayspark.streaming.sli_stream import counted_slis, run_window_counts
+from stayspark.plans.sli_queries import REG as SLI
+from stayspark.plans.sli_queries import SERVICE_ALERTS_SQL, STEP, indicators
+from stayspark.session import shared_folder, stored
+from stayspark.streaming.runtime import drain, read_batches, write_batch
+from stayspark.streaming.sli_stream import counted_slis, run_window_counts, service_alert_stream
 
-REG = Registry({k: MESSAGING.views[k] for k in ("parsed_log", "first_deliveries")})
+REG = Registry({**SLI.views, **{k: MESSAGING.views[k] for k in ("parsed_log", "first_deliveries")}})
 query = REG.query
 
 
@@ -108,3 +111,23 @@ def _(v: Views):
     hotel_events.request_replay(v.spark, base, requests, topic, "2030-01-01 00:00:00", run=1)
     hotel_events.consume_stream(file_stream(v.spark, topic), base, checkpoint)
     return hotel_events.current_letters(v.spark, base).select("letter_id", "retry_count", "retry_status", "original_event_id")
+
+
+@query("sli6_stream_alerts", SERVICE_ALERTS_SQL)
+def _(v: Views):
+    """The six service alerts from indicators that arrive in four portions; episodes go on from one to the next."""
+    base = shared_folder(v.spark, "alerts")
+    found = stored(indicators(v), "indicators")
+    ends = found.agg(F.min("step").alias("a"), F.max("step").alias("b")).first()
+    schema, portions = "uri string, sli string, step bigint, value double", 4
+    for n in range(portions):
+        share = F.least(F.floor((F.col("step") - ends["a"]) * portions / F.lit(max(1, ends["b"] - ends["a"]))), F.lit(portions - 1))
+        found.filter(share == n).select("uri", "sli", "step", F.col("value").cast("double").alias("value")).write.mode("append").parquet(f"{base}/steps")
+        arrived = v.spark.readStream.schema(schema).parquet(f"{base}/steps")
+        alerts = service_alert_stream(arrived, ["uri"], STEP).writeStream.outputMode("append").foreachBatch(
+            lambda df, batch_id: write_batch(df, f"{base}/out", batch_id)
+        )
+        drain(alerts, f"{base}/ckpt")
+    return read_batches(
+        v.spark, f"{base}/out", "uri string, sli string, step bigint, since bigint, state string, severity string"
+    ).drop("batch_id")

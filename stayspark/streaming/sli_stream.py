@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from stayspark.operators.sli import FAST_MS, SECOND, ratio
+from stayspark.operators.sli import FAST_MS, SECOND, SERVICE_ALERTS, ratio, rule_columns
 from stayspark.streaming.runtime import CLOCK, clock_before, drain, read_batches, use_rocksdb, write_batch
 
 
@@ -104,22 +104,14 @@ def latest_slis(spark: SparkSession, folder: str, keys: list[str], schema: str)
     return newest.select(*keys, "window_end", *[F.col(f"v.{c}").alias(c) for c in values])
 
 
-ALERT = T.StructType(
-    [
-        T.StructField("series", T.StringType()),
-        T.StructField("step", T.LongType()),
-        T.StructField("since", T.LongType()),
-        T.StructField("state", T.StringType()),
-    ]
-)
 _EPISODE = T.StructType([T.StructField("since", T.LongType()), T.StructField("last", T.LongType())])
 
 
 class _Episodes(StatefulProcessor):
-    """Per series: when the running episode began and its last step."""
+    """Per series: when the running episode began and its last step. A missing step ends it, also between micro-batches."""
 
-    def __init__(self, hold_us: int, step_us: int):
-        self.hold_us, self.step_us = hold_us, step_us
+    def __init__(self, columns: list[str], step_us: int):
+        self.columns, self.step_us = columns, step_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.episode = handle.getValueState("episode", _EPISODE)
@@ -129,7 +121,7 @@ class _Episodes(StatefulProcessor):
         steps = pd.concat(list(rows)).sort_values("step")
         since, last = self.episode.get() if self.episode.exists() else (None, None)
         out = []
-        for step, on in zip(steps["step"], steps["bad"]):
+        for step, on, hold in zip(steps["step"], steps["bad"], steps["hold_us"]):
             step = int(step)
             if not on:
                 since = None
@@ -137,25 +129,48 @@ class _Episodes(StatefulProcessor):
                 since = step
             last = step
             if on:
-                state = "firing" if step - since >= self.hold_us else "pending"
-                out.append((key[0], step, since, state))
+                state = "firing" if step - since >= hold else "pending"
+                out.append((*key, step, since, state))
         if since is None:
             self.episode.clear()
         else:
             self.episode.update((since, last))
         if out:
-            yield pd.DataFrame(out, columns=[f.name for f in ALERT.fields], dtype=object)
+            yield pd.DataFrame(out, columns=self.columns, dtype=object)
 
     def close(self) -> None:
         pass
 
 
-def alert_stream(steps: DataFrame, hold_s: int, step_s: int = 15) -> DataFrame:
-    """steps: series, step (epoch micros), bad, in step order per series across micro-batches."""
+def _episodes(steps: DataFrame, keys: list[str], step_s: int) -> DataFrame:
+    """(keys, step, since, state) from (keys, step, bad, hold_us), in step order per series across micro-batches."""
     use_rocksdb(steps.sparkSession)
-    return steps.groupBy("series").transformWithStateInPandas(
-        statefulProcessor=_Episodes(hold_s * SECOND, step_s * SECOND),
-        outputStructType=ALERT,
+    out = T.StructType([steps.schema[k] for k in keys])
+    for name, kind in (("step", T.LongType()), ("since", T.LongType()), ("state", T.StringType())):
+        out = out.add(name, kind)
+    return steps.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=_Episodes(out.fieldNames(), step_s * SECOND),
+        outputStructType=out,
         outputMode="append",
         timeMode="none",
     )
+
+
+def alert_stream(steps: DataFrame, hold_s: int, step_s: int = 15) -> DataFrame:
+    """One rule. steps: series, step (epoch micros), bad -> series, step, since, state."""
+    held = steps.select("series", "step", "bad", F.lit(hold_s * SECOND).cast("long").alias("hold_us"))
+    return _episodes(held, ["series"], step_s)
+
+
+def service_alert_stream(
+    indicators: DataFrame, keys: list[str], step_s: int = 15, rules: dict[str, tuple] = SERVICE_ALERTS
+) -> DataFrame:
+    """(keys, sli, step, since, state, severity) of every rule from a stream of (keys, sli, step, value); the batch twin is
+    ``operators.sli.service_alerts``. One kind of state serves all rules, each with its own bound, side, hold and severity.
+    """
+    bad, hold, severity = rule_columns(rules)
+    judged = indicators.select(
+        *keys, "sli", "step", F.coalesce(bad, F.lit(False)).alias("bad"),
+        F.coalesce(hold * SECOND, F.lit(0)).cast("long").alias("hold_us"),
+    )
+    return _episodes(judged, [*keys, "sli"], step_s).withColumn("severity", severity)

@@ -339,6 +339,37 @@ def test_job_handler(spark):
     assert kept.count() == 0 and deleted.first().deleted == len(rows)
 
 
+def test_highlights_without_spaces_and_at_word_borders(spark):
+    thai = "โรงแรมในภูเก็ตใกล้ทะเลและชายหาด"
+    long = "".join(f"word{i} " for i in range(40)) + "quiet beach " + "".join(f"tail{i} " for i in range(40))
+    docs = spark.createDataFrame(
+        [(1, "Inn", "Rome", long, None, thai, "ภูเก็ต", "habitación moderna de lujo", 9.0), (2, "Beach", "Oslo", None, None, "浅草の静かな宿", None, "de", 9.0)],
+        "id long, name string, city string, description string, amenities string, name_alt string, city_alt string,"
+        " description_alt string, price_per_night double",
+    )
+    asked = spark.createDataFrame([(1, "ภูเก็ต ทะเล", "th"), (2, "beach", "en"), (3, "浅草", "th"), (4, "de", "th")], "query_id long, q string, lang string")
+    hits = asked.select("query_id").crossJoin(docs.select(F.col("id").alias("doc_id")))
+    marks = {(r.query_id, r.doc_id, r.field): r.fragment for r in search.highlights(hits, docs, asked).collect()}
+    assert marks[1, 1, "name_alt"] == "โรงแรมใน<mark>ภูเก็ต</mark>ใกล้<mark>ทะเล</mark>และชายหาด"
+    assert marks[1, 1, "city_alt"] == "<mark>ภูเก็ต</mark>"
+    assert marks[3, 2, "name_alt"] == "<mark>浅草</mark>の静かな宿"
+    assert marks[4, 1, "description_alt"] == "habitación moderna <mark>de</mark> lujo" and marks[4, 2, "description_alt"] == "<mark>de</mark>"
+    shown = marks[2, 1, "description"]
+    assert "quiet <mark>beach</mark> tail0" in shown and len(shown) <= 120 + len("<mark></mark>")
+    assert set(shown.replace("<mark>", "").replace("</mark>", "").split()) <= set(long.split())
+    assert set(marks) == {(1, 1, "name_alt"), (1, 1, "city_alt"), (3, 2, "name_alt"), (4, 1, "description_alt"), (4, 2, "description_alt"), (2, 1, "description"), (2, 2, "name")}
+
+
+def test_price_steps_end_at_stored_prices(spark):
+    hotels = spark.createDataFrame([(1, "Rome", 80.0), (2, "Oslo", 470.0)], "hotel_id long, city string, price_per_night double")
+    asked = spark.createDataFrame(
+        [(1, None, -1e15, 1e15), (2, None, 100.0, 1e18), (3, " ", None, 90.0), (4, None, 1e9, None)],
+        "request_id long, city string, min_price double, max_price double",
+    )
+    got = {(r.request_id, r.hotel_id) for r in filters.hotels_matching_batch(hotels, asked).collect()}
+    assert got == {(1, 1), (1, 2), (2, 2), (3, 1)}
+
+
 def search_world(spark, n=400):
     """Documents of common, middling and rare words; queries of many words, few words, unknown words and none."""
     import random

@@ -12,7 +12,7 @@ from stayspark.sources.topics import TOPIC_ROW, append_to_folder, file_stream
 from stayspark.streaming import hotel_events
 from stayspark.streaming.delay_queue import release_stream, released, run_release
 from stayspark.streaming.runtime import drain, read_batches, write_batch
-from stayspark.streaming.sli_stream import alert_stream, counted_slis, latest_slis, run_slis, run_window_counts, windowed_slis
+from stayspark.streaming.sli_stream import alert_stream, counted_slis, latest_slis, run_slis, run_window_counts, service_alert_stream, windowed_slis
 
 T0 = datetime(2026, 1, 1)
 
@@ -245,3 +245,24 @@ def test_alert_stream_equals_batch(spark, tmp_path):
     }
     assert streamed == twin
     assert {s[3] for s in twin} == {"pending", "firing"}
+
+
+def test_service_alerts_as_a_stream_equal_the_batch(spark, tmp_path):
+    """Rules with own bound, side and hold; values missing, steps missing, an indicator without a rule."""
+    source, out, ckpt = (str(tmp_path / n) for n in ("steps", "out", "ckpt"))
+    rules = {"latency": ("below", 0.9, 30, "warning"), "deadlock": ("above", 0.0, 45, "info")}
+    rows = [
+        (f"/u{u}", name, step * 15 * sli.SECOND, None if step % 23 == 7 else float((step * (u + 2) // 6) % 2))
+        for u in range(3) for name in ("latency", "deadlock", "other") for step in range(60) if (step + u) % 19
+    ]
+    schema = "uri string, sli string, step bigint, value double"
+    for at in range(0, 60, 13):
+        part = [r for r in rows if at <= r[2] // (15 * sli.SECOND) < at + 13]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = service_alert_stream(spark.readStream.schema(schema).parquet(source), ["uri"], 15, rules)
+        drain(stream.writeStream.outputMode("append").foreachBatch(lambda df, b: write_batch(df, out, b)), ckpt)
+    kinds = "uri string, sli string, step bigint, since bigint, state string, severity string"
+    streamed = sorted(tuple(r)[:6] for r in read_batches(spark, out, kinds).collect())
+    twin = sli.service_alerts(spark.createDataFrame(rows, schema), ["uri"], 15, rules).select(*[k.split()[0] for k in kinds.split(", ")])
+    assert streamed == sorted(tuple(r) for r in twin.collect())
+    assert {(r[1], r[4]) for r in streamed} >= {("latency", "firing"), ("latency", "pending"), ("deadlock", "pending")}
