@@ -62,6 +62,29 @@ def payment_rows(payments: DataFrame, bookings: DataFrame, hotels: DataFrame) ->
     )
 
 
+def notification_rows(notes: DataFrame) -> DataFrame:
+    """The columns a notification answer shows."""
+    return notes.select("id", "booking_id", "type", "message", F.col("is_read").alias("read"), "created_at")
+
+
+def event_rows(processed: DataFrame) -> DataFrame:
+    """The columns the dashboard shows of processed events; an event without an own time was processed when it occurred."""
+    at = F.col("processed_at") if "processed_at" in processed.columns else F.col("occurred_at")
+    return processed.select(
+        "event_id", "schema_version", "event_type", "hotel_id", "hotel_name", "city", "price_per_night", "topic_name",
+        "message_key", "partition_id", "kafka_offset", "consumer_group_id", "occurred_at", at.alias("processed_at"),
+    )
+
+
+def letter_rows(letters: DataFrame) -> DataFrame:
+    """The columns the dashboard shows of dead letters."""
+    return letters.select(
+        F.col("letter_id").alias("id"), "original_topic", "dead_letter_topic", "message_key", "partition_id", "kafka_offset",
+        "payload", "original_event_id", "original_event_type", "original_hotel_id", "error_class_name", "error_message",
+        "retry_status", "retry_count", "last_retried_at", "resolved_at", "dead_lettered_at",
+    )
+
+
 def inventory_rows(inventory: DataFrame, hotels: DataFrame) -> DataFrame:
     return inventory.join(_hotel(hotels).drop("city"), "hotel_id").select(
         "hotel_id", "hotel_name", "room_type", "inventory_date", "available_rooms"

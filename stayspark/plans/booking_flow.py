@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayspark.operators import access, settlement
+from stayspark.operators import access, joins, settlement
 from stayspark.plans.registry import Registry, sql_date, sql_ts
 from stayspark.sources.views import Views
 
@@ -236,6 +236,23 @@ def _(v: Views):
     return settlement.notifications(changes, v.hotels())
 
 
+@query("fil10_notification_rows", f"""
+    select b.id, b.id booking_id, 'BOOKING_' || status "type",
+           'Booking ' || b.id || ' ' || lower(status) || ' for ' || h."name" || ' from '
+             || {sql_date("check_in")} || ' to ' || {sql_date("check_out")} message,
+           user_id % 2 = 0 "read", {sql_ts("created_at")} created_at
+    from bookings b join hotels h on h.id = b.hotel_id where status <> 'PENDING'""")
+def _(v: Views):
+    """Notifications as an answer shows them; accounts of even number have read theirs."""
+    stays = v.bookings()
+    changes = stays.withColumnRenamed("id", "booking_id").withColumnRenamed("status", "to_status")
+    made = settlement.notifications(changes, v.hotels()).withColumn("id", F.col("booking_id"))
+    receipts = stays.filter("user_id % 2 = 0").select(F.col("id").alias("notification_id"), F.col("user_id").alias("reader_id"))
+    read = settlement.mark_read(made, receipts).select("id", "is_read")
+    times = stays.select("id", "created_at")
+    return joins.notification_rows(made.drop("is_read").join(read, "id").join(times, "id"))
+
+
 @query("bkg9_mark_read", """
     select id, user_id, user_id % 2 = 0 is_read from bookings where status = 'CONFIRMED'""")
 def _(v: Views):

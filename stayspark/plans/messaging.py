@@ -107,6 +107,24 @@ def _(v: Views):
     )
 
 
+@query("fil10_event_rows", f"""
+    select event_id, schema_version, event_type, hotel_id, hotel_name, city, price_per_night, topic_name, message_key,
+           partition_id, kafka_offset, 'hotel-status' consumer_group_id, {sql_ts("occurred_at")} occurred_at, {sql_ts("occurred_at")} processed_at
+    from (select d.*, cast({_j('schemaVersion')} as int) schema_version, topic topic_name from first_deliveries d) x""")
+def _(v: Views):
+    return joins.event_rows(events.consume(v.hotel_event_log()))
+
+
+@query("fil10_letter_rows", f"""
+    select 'hotel-events-' || partition_id || '-' || kafka_offset id, topic original_topic, 'hotel-events-dlt' dead_letter_topic,
+           message_key, partition_id, kafka_offset, payload, null original_event_id, null original_event_type,
+           null original_hotel_id, 'PayloadError' error_class_name, 'payload is not valid JSON' error_message, 'PENDING' retry_status,
+           0 retry_count, null last_retried_at, null resolved_at, {sql_ts("occurred_at")} dead_lettered_at
+    from hotel_event_log where not json_valid(payload)""")
+def _(v: Views):
+    return joins.letter_rows(events.dead_letters(v.hotel_event_log()))
+
+
 @query("evt5_replay", f"""
     select kafka_offset, coalesce('e' || eid, null) original_event_id, st retry_status, rc retry_count
     from (select kafka_offset, case when partition_id < 2 then kafka_offset // 20 end eid,
