@@ -18,6 +18,7 @@ from stayspark.functions.text import is_stop_word, pairs, prefixes, shingles, st
 from stayspark.operators.filters import hotels_matching_batch
 from stayspark.session import stored
 from stayspark.sources import snapshots
+from stayspark.sources.tables import dealt_by_text
 
 K1, B = 1.2, 0.75
 ENGLISH_FIELDS = ("name", "city", "description", "amenities")
@@ -113,10 +114,10 @@ def _analysed(counted: DataFrame, key: str) -> DataFrame:
 def postings_of(docs: DataFrame) -> DataFrame:
     """(doc_id, field, term, tf, len) of every text field of every document, whole texts.
 
-    The texts are dealt out by document once; counting, analysing and lengths then stay in the task.
+    The texts are dealt out by document once, so many characters per task; counting, analysing and lengths then stay in the task.
     """
     fields = tuple(f for f in (*ENGLISH_FIELDS, *OTHER_FIELDS) if f in docs.columns)
-    dealt = docs.select("id", *fields).repartition("id")
+    dealt = dealt_by_text(docs.select("id", *fields), "id", fields)
     tf = _analysed(_field_words(dealt, "id", fields), "id").withColumnRenamed("id", "doc_id")
     return tf.withColumn("len", F.sum("tf").over(Window.partitionBy("doc_id", "field")))
 
