@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import time
 import zlib
 
 import pytest
@@ -84,3 +85,17 @@ def test_letters_are_what_python_calls_letters():
             low = sign.lower()
             assert (language.counts(sign) is not None) == any(c.isalpha() for c in low), hex(ord(sign))
     assert language.counts("² ½ ① _ 7") is None and language.counts("²x") is not None
+
+
+def test_numerals_cost_no_search_of_every_letter():
+    """They part words as other signs do, and a text of letters takes as long as the letters need."""
+    assert language.counts("²½①") is None
+    for text in ("a²b", "a½①b", "a 𐄇 b"):
+        assert (language.counts(text) == language.counts("a b")).all()
+    text = "größe und länge " * 40000
+    start = time.perf_counter()
+    language.NOT_LETTERS.sub(" ", text)
+    pattern = time.perf_counter() - start
+    start = time.perf_counter()
+    language.counts(text)
+    assert pattern < 0.5 and time.perf_counter() - start < 2
