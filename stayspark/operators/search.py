@@ -6,15 +6,18 @@ the terms add up, a field's boost multiplies its sum, and the best field decides
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stayspark.functions.columns import blank_to_null, clamp, has_text
 from stayspark.functions.skew import top_n_per_key
-from stayspark.functions.text import is_stop_word, pairs, prefixes, shingles, stem, words
+from stayspark.functions.text import STOP_WORDS, is_stop_word, pairs, pairs_of, prefixes, shingles, stem, stem_of, words
 from stayspark.operators.filters import hotels_matching_batch
 from stayspark.session import stored
 from stayspark.sources import snapshots
@@ -53,6 +56,13 @@ HEAD = 0.65
 SLACK = 1e-5
 Allowed = Callable[[DataFrame], DataFrame]
 
+#: A batch that may travel with the tasks: queries, and their terms in all fields.
+BATCH_QUERIES = 4096
+BATCH_TERMS = 1024 * 1024
+#: Queries and documents whose scores are made by one product of matrices.
+TILE = 256
+BLOCK = 512
+
 
 def language(lang: Column) -> Column:
     """Anything starting with ``th`` (ignoring case and blanks) is ``th``; the rest, and null, ``en``."""
@@ -76,7 +86,7 @@ def project_documents(hotels: DataFrame) -> DataFrame:
 @dataclass
 class Index:
     """postings(field, term, doc_id, tf, len); dictionary(field, term, df, top); stats(field, n_docs, avg_len);
-    documents: the projection that was analysed.
+    documents: the projection that was analysed; forward: a row per document, see ``forward_of``.
 
     ``top`` is the greatest share of its weight that a term reaches in any document.
     """
@@ -85,18 +95,7 @@ class Index:
     dictionary: DataFrame
     stats: DataFrame
     documents: DataFrame
-
-
-def _field_words(df: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
-    """(key, field, word, tf): words counted per document before anything is analysed further."""
-    texts = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
-    return (
-        df.select(key, F.explode(texts).alias("t"))
-        .filter("t.text is not null")
-        .select(key, "t.field", F.explode(words(F.col("t.text"))).alias("word"))
-        .groupBy(key, "field", "word")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    forward: DataFrame
 
 
 def _analysed(counted: DataFrame, key: str) -> DataFrame:
@@ -111,15 +110,68 @@ def _analysed(counted: DataFrame, key: str) -> DataFrame:
     )
 
 
-def postings_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, field, term, tf, len) of every text field of every document, whole texts.
+def _text_fields(columns: list[str]) -> tuple[str, ...]:
+    return tuple(f for f in (*ENGLISH_FIELDS, *OTHER_FIELDS) if f in columns)
+
 
-    The texts are dealt out by document once, so many characters per task; counting, analysing and lengths then stay in the task.
+def forward_of(docs: DataFrame) -> DataFrame:
+    """A row per document: doc_id and, per text field, ``<field>_terms`` and ``<field>_tfs``, its terms and how often each
+    occurs. Both lists are no longer than the text.
+
+    The texts are dealt out by document once, so many characters per task; all else stays in the task. Texts of one id count as
+    one. Words are those of ``words``; what they become is worked out once per distinct word of a batch.
     """
-    fields = tuple(f for f in (*ENGLISH_FIELDS, *OTHER_FIELDS) if f in docs.columns)
+    fields = _text_fields(docs.columns)
     dealt = dealt_by_text(docs.select("id", *fields), "id", fields)
-    tf = _analysed(_field_words(dealt, "id", fields), "id").withColumnRenamed("id", "doc_id")
-    return tf.withColumn("len", F.sum("tf").over(Window.partitionBy("doc_id", "field")))
+    whole = dealt.groupBy("id").agg(*[F.concat_ws(" ", F.collect_list(f)).alias(f) for f in fields])
+    kind = docs.schema["id"].dataType.simpleString()
+    lists = ", ".join(f"{f}_terms array<string>, {f}_tfs array<bigint>" for f in fields)
+
+    def analyse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [x for f in fields for x in _counted(batch.column(f), f in ENGLISH_FIELDS)]
+            names = ["doc_id", *[f"{f}_{x}" for f in fields for x in ("terms", "tfs")]]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names)
+
+    return whole.select("id", *[words(F.col(f)).alias(f) for f in fields]).mapInArrow(analyse, f"doc_id {kind}, {lists}")
+
+
+def _counted(texts: pa.ListArray, english: bool) -> tuple[pa.ListArray, pa.ListArray]:
+    """Terms and their counts for each list of words."""
+    found = texts.flatten().dictionary_encode()
+    doc = pc.list_parent_indices(texts).to_numpy()
+    known = found.dictionary.to_pylist()
+    # Each word once per document with its count, then the terms of every distinct word.
+    doc, word, n = _summed(doc, found.indices.to_numpy(), np.ones(len(doc), np.int64), len(known))
+    terms = [([] if w in STOP_WORDS else [stem_of(w)]) if english else pairs_of(w) for w in known]
+    coded = pa.array([t for ts in terms for t in ts], pa.string()).dictionary_encode()
+    sizes = np.array([len(ts) for ts in terms], np.int64)
+    starts, each = np.cumsum(sizes) - sizes, sizes[word]
+    place = np.repeat(starts[word] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+    term = coded.indices.to_numpy()[place]
+    doc, term, n = _summed(np.repeat(doc, each), term, np.repeat(n, each), len(coded.dictionary))
+    ends = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, coded.dictionary.take(pa.array(term))), pa.ListArray.from_arrays(ends, pa.array(n))
+
+
+def _summed(doc: np.ndarray, code: np.ndarray, n: np.ndarray, codes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (doc, code) in order, with the sum of their ``n``."""
+    cells, at = np.unique(doc.astype(np.int64) * max(codes, 1) + code, return_inverse=True)
+    return cells // max(codes, 1), cells % max(codes, 1), np.bincount(at, n, len(cells)).astype(np.int64)
+
+
+def postings_in(forward: DataFrame) -> DataFrame:
+    """(doc_id, field, term, tf, len) of all terms of the forward rows."""
+    fields = [c.removesuffix("_terms") for c in forward.columns if c.endswith("_terms")]
+    total = lambda f: F.aggregate(f"{f}_tfs", F.lit(0).cast("long"), lambda t, x: t + x)
+    field = lambda f: F.struct(F.lit(f).alias("field"), F.col(f"{f}_terms").alias("terms"), F.col(f"{f}_tfs").alias("tfs"), total(f).alias("len"))
+    rows = forward.select("doc_id", F.explode(F.array(*map(field, fields))).alias("f"))
+    return rows.select("doc_id", "f.field", F.inline(F.arrays_zip("f.terms", "f.tfs")).alias("term", "tf"), "f.len")
+
+
+def postings_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, field, term, tf, len) of every text field of every document, whole texts."""
+    return postings_in(forward_of(docs))
 
 
 def _saturation() -> Column:
@@ -128,50 +180,74 @@ def _saturation() -> Column:
     return tf / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * F.col("len") / F.col("avg_len")))
 
 
-def _index(postings: DataFrame, documents: DataFrame) -> Index:
-    lengths = postings.groupBy("field", "doc_id").agg(F.first("len").alias("len"))
-    stats = lengths.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("avg_len"))
-    dictionary = (
-        postings.join(stats.select("field", "avg_len"), "field")
-        .groupBy("field", "term")
-        .agg(F.count(F.lit(1)).alias("df"), F.max(_saturation()).alias("top"))
-    )
-    return Index(postings, dictionary, stats, documents)
+def _stats(forward: DataFrame) -> DataFrame:
+    """(field, n_docs, avg_len) over the documents that have a term in the field."""
+    fields = [c.removesuffix("_tfs") for c in forward.columns if c.endswith("_tfs")]
+    total = lambda f: F.aggregate(f"{f}_tfs", F.lit(0).cast("long"), lambda t, x: t + x)
+    lengths = forward.select(F.inline(F.array(*[F.struct(F.lit(f).alias("field"), total(f).alias("len")) for f in fields])))
+    return lengths.filter("len > 0").groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("avg_len"))
+
+
+def _dictionary(forward: DataFrame, stats: DataFrame) -> DataFrame:
+    """(field, term, df, top); terms are counted per batch of documents first."""
+    fields = [c.removesuffix("_terms") for c in forward.columns if c.endswith("_terms")]
+    lengths = stats.agg(*[F.max(F.when(F.col("field") == f, F.col("avg_len"))).alias(f"{f}_avg") for f in fields])
+    rows = forward.drop("doc_id").crossJoin(F.broadcast(lengths))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for f in fields:
+                lists, tf = batch.column(f"{f}_terms"), batch.column(f"{f}_tfs").flatten().to_numpy()
+                if not len(tf):
+                    continue
+                doc, found = pc.list_parent_indices(lists).to_numpy(), lists.flatten().dictionary_encode()
+                share = _share(tf, np.bincount(doc, tf)[doc], batch.column(f"{f}_avg")[0].as_py())
+                term, top = found.indices.to_numpy(), np.zeros(len(found.dictionary))
+                np.maximum.at(top, term, share)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f] * len(top), pa.string()), found.dictionary, pa.array(np.bincount(term)), pa.array(top)], ["field", "term", "df", "top"])
+
+    counted = rows.mapInArrow(count, "field string, term string, df bigint, top double")
+    return counted.groupBy("field", "term").agg(F.sum("df").alias("df"), F.max("top").alias("top"))
+
+
+def _share(tf: np.ndarray, length: np.ndarray, avg_len: float) -> np.ndarray:
+    """``_saturation`` inside a task."""
+    return tf / (tf + K1 * (1 - B + B * length / avg_len))
 
 
 def build_index(docs: DataFrame) -> Index:
     """The index as a plan; ``publish_index`` stores it."""
-    return _index(postings_of(docs), docs)
+    forward = forward_of(docs)
+    postings, stats = postings_in(forward), _stats(forward)
+    return Index(postings, _dictionary(forward, stats), stats, docs, forward)
 
 
 def write_index(docs: DataFrame, folder: str) -> None:
-    """Analyse the documents once and write the index; one folder per field of postings and dictionary, so that a query
-    batch reads the fields its boosts name and no texts at all."""
+    """Analyse the documents once and write the index. Postings are read from the forward rows, which have columns per field,
+    so that a query batch reads the fields its boosts name and no texts at all."""
     spark = docs.sparkSession
     docs.write.mode("overwrite").parquet(f"{folder}/documents")
     documents = spark.read.schema(docs.schema).parquet(f"{folder}/documents")
-    postings_of(documents).write.mode("overwrite").partitionBy("field").parquet(f"{folder}/postings")
-    built = _index(_read_postings(spark, folder), documents)
-    built.stats.coalesce(1).write.mode("overwrite").parquet(f"{folder}/stats")
+    made = forward_of(documents)
+    made.write.mode("overwrite").parquet(f"{folder}/forward")
+    forward = spark.read.schema(made.schema).parquet(f"{folder}/forward")
+    _stats(forward).coalesce(1).write.mode("overwrite").parquet(f"{folder}/stats")
     stats = spark.read.schema(_STATS).parquet(f"{folder}/stats")
-    built = Index(built.postings, _index(built.postings, documents).dictionary, stats, documents)
-    built.dictionary.write.mode("overwrite").partitionBy("field").parquet(f"{folder}/dictionary")
+    _dictionary(forward, stats).write.mode("overwrite").partitionBy("field").parquet(f"{folder}/dictionary")
 
 
 _STATS = "field string, n_docs long, avg_len double"
 
 
-def _read_postings(spark: SparkSession, folder: str) -> DataFrame:
-    schema = "doc_id long, term string, tf long, len long, field string"
-    return spark.read.schema(schema).parquet(f"{folder}/postings")
-
-
 def read_index(spark: SparkSession, folder: str) -> Index:
+    forward = spark.read.parquet(f"{folder}/forward")
     return Index(
-        _read_postings(spark, folder),
+        postings_in(forward),
         spark.read.schema("term string, df long, top double, field string").parquet(f"{folder}/dictionary"),
         spark.read.schema(_STATS).parquet(f"{folder}/stats"),
         spark.read.parquet(f"{folder}/documents"),
+        forward,
     )
 
 
@@ -237,6 +313,84 @@ def _sums(rows: DataFrame) -> DataFrame:
     return rows.groupBy("query_id", "doc_id", "field").agg(F.sum(F.col("weight") * _saturation()).alias("field_score"))
 
 
+class _Batch:
+    """The weights of a batch of queries, as what the tasks multiply with: per ``TILE`` queries and field, the terms and a
+    matrix (term, query). ``ids``: the queries by their places in the tiles."""
+
+    def __init__(self, weights: pa.Table):
+        coded = weights.column("query_id").combine_chunks().dictionary_encode()
+        self.ids, query = coded.dictionary, coded.indices.to_numpy()
+        fields, value = weights.column("field").to_numpy(), weights.column("weight").to_numpy()
+        lengths = weights.column("avg_len").to_numpy()
+        self.terms, self.avg_len, placed = {}, {}, {}
+        for f in sorted(set(fields)):
+            rows = np.flatnonzero(fields == f)
+            known = weights.column("term").combine_chunks().take(pa.array(rows)).dictionary_encode()
+            self.terms[f], self.avg_len[f] = known.dictionary, lengths[rows[0]]
+            placed[f] = rows, known.indices.to_numpy()
+        self.tiles, self.block = [], BLOCK
+        for first in range(0, len(self.ids), TILE):
+            tile = {}
+            for f, (rows, term) in placed.items():
+                inside = (query[rows] >= first) & (query[rows] < first + TILE)
+                used, at = np.unique(term[inside], return_inverse=True)
+                if not len(used):
+                    continue
+                column = np.full(len(self.terms[f]), -1)
+                column[used] = np.arange(len(used))
+                matrix = np.zeros((len(used), min(TILE, len(self.ids) - first)))
+                np.add.at(matrix, (at, query[rows][inside] - first), value[rows][inside])
+                tile[f] = column, matrix
+            self.tiles.append((first, tile))
+
+    def found(self, batch: pa.RecordBatch) -> dict:
+        """field -> (doc, term, saturation) of the postings that some query asks for."""
+        out = {}
+        for f, terms in self.terms.items():
+            if f"{f}_terms" not in batch.schema.names:
+                continue
+            lists, tf = batch.column(f"{f}_terms"), batch.column(f"{f}_tfs").flatten().to_numpy()
+            doc = pc.list_parent_indices(lists).to_numpy()
+            total = np.bincount(doc, tf, batch.num_rows)
+            term = pc.fill_null(pc.index_in(lists.flatten(), terms), -1).to_numpy()
+            known = term >= 0
+            doc, tf = doc[known], tf[known]
+            out[f] = doc, term[known], _share(tf, total[doc], self.avg_len[f])
+        return out
+
+    def scores(self, batch: pa.RecordBatch) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+        """(first query, field -> matrix of field scores (document, query)) for each tile; ``BLOCK`` documents a product."""
+        found = self.found(batch)
+        for first, tile in self.tiles:
+            out = {}
+            for f, (column, matrix) in tile.items():
+                if f not in found:
+                    continue
+                doc, term, share = found[f]
+                used = column[term] >= 0
+                doc, term, share = doc[used], column[term[used]], share[used]
+                scores = np.zeros((batch.num_rows, matrix.shape[1]))
+                for low in range(0, batch.num_rows, self.block):
+                    a, b = np.searchsorted(doc, [low, low + self.block])
+                    if a < b:
+                        part = np.zeros((min(self.block, batch.num_rows - low), len(matrix)))
+                        part[doc[a:b] - low, term[a:b]] = share[a:b]
+                        scores[low : low + self.block] = part @ matrix
+                out[f] = scores
+            yield first, out
+
+
+def _travelling(weights: DataFrame) -> _Batch | None:
+    """The weights, stored before, if they are few enough to travel with the tasks."""
+    size = weights.agg(F.count(F.lit(1)).alias("terms"), F.countDistinct("query_id").alias("queries")).first()
+    fits = size["queries"] <= BATCH_QUERIES and size["terms"] <= BATCH_TERMS
+    return _Batch(weights.select("query_id", "field", "term", "avg_len", "weight").toArrow()) if fits else None
+
+
+def _lists_of(forward: DataFrame, fields: list[str]) -> list[str]:
+    return [c for f in fields for c in (f"{f}_terms", f"{f}_tfs") if c in forward.columns]
+
+
 def field_scores(index: Index, queries: DataFrame) -> DataFrame:
     """(query_id, doc_id, field, field_score) of every document that has a term of the query: BM25 sum per field times
     its boost. Ranked search does not need all of them, see ``bounded_hits``."""
@@ -247,10 +401,11 @@ def best_fields(scores: DataFrame) -> DataFrame:
     return scores.groupBy("query_id", "doc_id").agg(F.max("field_score").alias("score"))
 
 
-def bounded_hits(index: Index, queries: DataFrame, k: int, allowed: Allowed | None = None) -> DataFrame:
-    """(query_id, doc_id, score): all documents that can be among the k best of a query, with exact scores.
+def bounded_hits(index: Index, weights: DataFrame, k: int, allowed: Allowed | None = None) -> DataFrame:
+    """(query_id, doc_id, score): all documents that can be among the k best of a query, with exact scores; for batches too large
+    to travel with the tasks.
 
-    ``allowed`` restricts rows (query_id, doc_id, ...) to the documents that a query admits.
+    ``weights``: see ``_weights``, stored. ``allowed`` restricts rows (query_id, doc_id, ...) to the documents that a query admits.
 
     1. The terms of a query's field are ordered by the most they can add, rare ones first, and only the head that makes up
        ``HEAD`` of the sum is looked up for all documents.
@@ -262,7 +417,7 @@ def bounded_hits(index: Index, queries: DataFrame, k: int, allowed: Allowed | No
     ranked = Window.partitionBy("query_id", "field").orderBy(F.desc("most"), "term")
     whole = Window.partitionBy("query_id", "field")
     before = F.sum("most").over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("most")
-    weights = _weights(index, queries).withColumn("head", before < HEAD * F.sum("most").over(whole))
+    weights = weights.withColumn("head", before < HEAD * F.sum("most").over(whole))
     weights = weights.withColumn("tail", F.sum(F.when(F.col("head"), 0.0).otherwise(F.col("most"))).over(whole))
     weights = stored(weights, "query-weights")
     allowed = allowed or (lambda rows: rows)
@@ -281,7 +436,7 @@ def bounded_hits(index: Index, queries: DataFrame, k: int, allowed: Allowed | No
     near = heads.join(limits.filter("tail = 0 or tail < floor"), ["query_id", "field"])
     near = near.filter("field_score + tail >= floor")
     done = near.filter("tail = 0").select("query_id", "doc_id", "field", "field_score")
-    rest = _from_documents(index, weights, near.filter("tail > 0").select("query_id", "doc_id", "field"))
+    rest = _from_documents(index, weights, near.filter("tail > 0").select("query_id", "doc_id", "field").distinct())
     return best_fields(everywhere.unionByName(done).unionByName(rest))
 
 
@@ -291,16 +446,93 @@ def _from_documents(index: Index, weights: DataFrame, asked: DataFrame) -> DataF
     return _sums(index.postings.join(asked, keys).join(weights, ["query_id", "field", "term"]))
 
 
-def city_matches(index: Index, queries: DataFrame) -> DataFrame:
-    """(query_id, doc_id) where the city argument matches either city field, analysed."""
+def block_hits(index: Index, batch: _Batch, weights: DataFrame, k: int, facts: DataFrame | None = None, bounds: pa.Table | None = None,
+               cities: _Batch | None = None) -> DataFrame:
+    """(query_id, doc_id, score): the k best documents of each query among those of every batch of forward rows, with exact
+    scores at six decimals; nothing is shuffled for them.
+
+    ``facts`` and ``bounds``: documents with their price, and rows of (query_id, min_price, max_price, _asked), one of which must
+    admit the document; ``cities``: the terms asked for in the city fields.
+    """
+    forward = index.forward.select("doc_id", *_lists_of(index.forward, sorted({*batch.terms, *(cities.terms if cities else ())})))
+    forward = forward.filter("doc_id is not null")
+    if facts is not None:
+        forward = forward.join(facts.select("doc_id", "price_per_night"), "doc_id")
+    kinds = {f.name: f.dataType.simpleString() for f in (*weights.schema, *index.forward.schema)}
+    admits = _admitted(batch.ids, bounds, cities)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            turn = pc.rank(rows.column("doc_id"), tiebreaker="dense").to_numpy()
+            admitted = admits(rows)
+            for first, fields in batch.scores(rows):
+                if not fields:
+                    continue
+                scores = np.round(np.maximum.reduce(list(fields.values())), 6)
+                # A score that rounds to nothing is still a hit.
+                keep = np.logical_or.reduce([x > 0 for x in fields.values()])
+                if admitted is not None:
+                    keep &= admitted[:, first : first + scores.shape[1]]
+                ranked = np.where(keep, scores, -1.0)
+                if len(ranked) > k and turn.max() == len(ranked):
+                    keep &= ranked >= np.partition(ranked, len(ranked) - k, axis=0)[len(ranked) - k]
+                doc, query = np.nonzero(keep)
+                order = np.lexsort((turn[doc], -scores[doc, query], query))
+                doc, query = doc[order], query[order]
+                again = (turn[doc[1:]] == turn[doc[:-1]]) & (query[1:] == query[:-1])  # ids with several prices
+                doc, query = doc[np.r_[True, ~again][: len(doc)]], query[np.r_[True, ~again][: len(query)]]
+                nth = np.arange(len(query)) - np.searchsorted(query, query)
+                doc, query = doc[nth < k], query[nth < k]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.ids.take(pa.array(first + query)), rows.column("doc_id").take(pa.array(doc)), pa.array(scores[doc, query])],
+                    ["query_id", "doc_id", "score"])
+
+    hits = forward.mapInArrow(best, f"query_id {kinds['query_id']}, doc_id {kinds['doc_id']}, score double")
+    return hits if facts is None else best_fields(hits.withColumnRenamed("score", "field_score"))
+
+
+def _admitted(ids: pa.Array, bounds: pa.Table | None, cities: _Batch | None):
+    """From forward rows to a matrix (document, query) of what price and city admit, None if nothing is asked."""
+    if bounds is None:
+        return lambda rows: None
+    query = pc.index_in(bounds.column("query_id").combine_chunks(), ids)
+    bounds = bounds.append_column("query", query).filter(pc.is_valid(query))
+    query = bounds.column("query").to_numpy()
+    least, most = (bounds.column(c).cast(pa.float64()).to_numpy() for c in ("min_price", "max_price"))
+    anywhere = np.zeros(len(ids), bool)
+    anywhere[query[bounds.column("_asked").is_null().to_numpy()]] = True
+
+    def admitted(rows: pa.RecordBatch) -> np.ndarray:
+        fit = np.zeros((rows.num_rows, len(ids)), bool)
+        price = rows.column("price_per_night").cast(pa.float64()).to_numpy(zero_copy_only=False)[:, None] if "price_per_night" in rows.schema.names else None
+        for at in range(0, len(query), TILE):
+            q, low, high = query[at : at + TILE], least[at : at + TILE], most[at : at + TILE]
+            inside = np.ones((rows.num_rows, len(q)), bool) if price is None else (np.isnan(low) | (price >= low)) & (np.isnan(high) | (price <= high))
+            np.logical_or.at(fit, (slice(None), q), inside)
+        place = np.broadcast_to(anywhere, fit.shape).copy()
+        for first, fields in cities.scores(rows) if cities else ():
+            for scores in fields.values():
+                met = pc.fill_null(pc.index_in(cities.ids.slice(first, scores.shape[1]), ids), -1).to_numpy()
+                place[:, met[met >= 0]] |= scores[:, met >= 0] > 0
+        return fit & place
+
+    return admitted
+
+
+def _city_terms(queries: DataFrame) -> DataFrame:
+    """(query_id, field, term) of the city arguments, analysed as either city field is."""
     asked = queries.filter(has_text(F.col("city"))).select("query_id", F.col("city").alias("text"))
     both = asked.select(
         "query_id", F.explode(F.array(F.lit("city"), F.lit("city_alt"))).alias("field"), "text"
     )
     counted = both.select("query_id", "field", F.explode(words(F.col("text"))).alias("word"), F.lit(1).alias("tf"))
-    terms = _analysed(counted, "query_id").select("query_id", "field", "term")
+    return _analysed(counted, "query_id").select("query_id", "field", "term")
+
+
+def city_matches(index: Index, queries: DataFrame) -> DataFrame:
+    """(query_id, doc_id) where the city argument matches either city field, analysed."""
     cities = index.postings.filter(F.col("field").isin("city", "city_alt"))
-    return cities.join(terms, ["field", "term"]).select("query_id", "doc_id").distinct()
+    return cities.join(_city_terms(queries), ["field", "term"]).select("query_id", "doc_id").distinct()
 
 
 def search(
@@ -335,7 +567,16 @@ def search(
 
     blank = _all_documents(facts, full.filter(~has_text(F.col("q"))))
     blank = in_city(blank) if "city" in queries.columns else blank
-    hits = bounded_hits(index, queries, k, allowed).unionByName(blank)
+    weights = stored(_weights(index, queries), "query-weights")
+    batch = _travelling(weights)
+    if batch is None:
+        hits = bounded_hits(index, weights, k, allowed)
+    else:
+        priced = facts if {"min_price", "max_price"} & set(queries.columns) else None
+        asked = bounds.toArrow() if {"city", "min_price", "max_price"} & set(queries.columns) else None
+        named = _city_terms(full).select("*", F.lit(1.0).alias("avg_len"), F.lit(1.0).alias("weight")).toArrow() if "city" in queries.columns else None
+        hits = block_hits(index, batch, weights, k, priced, asked, _Batch(named) if named is not None else None)
+    hits = hits.unionByName(blank)
     rounded = hits.withColumn("score", F.round("score", 6))
     return top_n_per_key(rounded, ["query_id"], [F.desc("score"), F.asc("doc_id")], k).select(
         "query_id", "rank", "doc_id", "score"
@@ -354,6 +595,31 @@ def _all_documents(facts: DataFrame, blank: DataFrame) -> DataFrame:
     )
 
 
+def explain_search(index: Index, queries: DataFrame) -> DataFrame:
+    """``explain_fields`` of all field scores of a batch. Those of a batch that travels with the tasks are counted where they
+    are made, a row per query and field for each batch of documents goes on."""
+    weights = stored(_weights(index, queries), "query-weights")
+    batch = _travelling(weights)
+    if batch is None:
+        return explain_fields(field_scores(index, queries))
+    forward = index.forward.select("doc_id", *_lists_of(index.forward, list(batch.terms)))
+    kind = weights.schema["query_id"].dataType.simpleString()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for first, fields in batch.scores(rows):
+                for f, scores in fields.items():
+                    n = np.count_nonzero(scores > 0, axis=0)
+                    some = np.flatnonzero(n)
+                    best = scores.max(axis=0, initial=0.0)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.ids.take(pa.array(first + some)), pa.array([f] * len(some), pa.string()), pa.array(n[some]), pa.array(best[some])],
+                        ["query_id", "field", "n", "best"])
+
+    counted = forward.mapInArrow(count, f"query_id {kind}, field string, n bigint, best double")
+    return counted.groupBy("query_id", "field").agg(F.sum("n").alias("n_docs"), F.round(F.max("best"), 6).alias("best_score"))
+
+
 def explain_fields(scores: DataFrame) -> DataFrame:
     """Per query and field: how many documents it scored and its best score."""
     return scores.groupBy("query_id", "field").agg(

@@ -298,8 +298,7 @@ def _(v: Views):
     select query_id, field, count(*) n_docs, round(max(field_score), 6) best_score
     from scored_fields group by query_id, field""")
 def _(v: Views):
-    index = index_of(v)
-    return search.explain_fields(search.field_scores(index, v.search_queries()))
+    return search.explain_search(index_of(v), v.search_queries())
 
 
 @query("join8_hit_details", """
