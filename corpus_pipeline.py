@@ -22,7 +22,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word Jaccard similarity of 0.8 at least."""
+    """One document of each group of near copies: five-word Jaccard similarity of 0.8 at least.
+
+    SimHash fingerprints that meet at anchors give the first links, an exact prefix filter those beyond their radius.
+    """
     return near.keep_one(docs).select(*DOCUMENT_COLUMNS)
 
 

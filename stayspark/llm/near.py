@@ -3,7 +3,12 @@
 Texts of equal sets are one node. Two nodes are linked if the Jaccard similarity of their sets of ``SHINGLE``
 words is ``SHARE`` at least, and groups are the components of these links.
 
-No link is missed: if the similarity is t at least, two sets have at least ceil(t n) elements of either in common
+The links come in two steps. First SimHash: sets have fingerprints (majority bits of their elements), which meet at the anchors of the
+covering code in ``simhash``; pairs of nodes whose fingerprints differ in few bits are compared as whole sets, and those that are
+alike enough are linked. Four bits of 64 reach a similarity of about 0.96, so the second step finds the other links by an exact prefix
+filter; it compares no pair again and none that the first step has put into one component.
+
+No link is missed by the second step: if the similarity is t at least, two sets have at least ceil(t n) elements of either in common
 (n its size), so in any one order of all elements the first n - ceil(t n) + 1 of both share an element. The order taken
 here puts rare elements first: even hashes before odd ones; of the even ones those of a single node first, the others by rising number
 of rows that have them, then by hash; odd ones by hash. A passage that many texts repeat stands at the end of their
@@ -31,6 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stayspark.llm import simhash
 from stayspark.llm.common import forget, whole, written
 from stayspark.llm.simhash import SEED, components, shingle_hashes
 
@@ -70,17 +76,18 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def nodes(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, tie, node, n, even, bits): hash of the text, hash of its set, its size, number of even hashes and signature, a
-    row per input row."""
+    """(doc_id, tie, node, n, even, bits, fp): hash of the text, hash of its set, its size, number of even hashes, signature and
+    SimHash fingerprint of the set, a row per input row."""
 
     def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part, sets in _sets(batches, shingle):
             facts = {"node": [_node(s) for s in sets], "n": [len(s) for s in sets], "even": [int((s & 1 == 0).sum()) for s in sets], "bits": [signature(s) for s in sets]}
+            facts["fp"] = np.array([simhash.majority(s.view(np.uint64)) for s in sets], np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": part["doc_id"], "tie": part["tie"]} | {k: pd.Series(v, part.index) for k, v in facts.items()})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = _texts(docs, F.col("doc_id"), F.xxhash64("text").alias("tie"))
-    return rows.mapInPandas(compute, f"doc_id {kind}, tie bigint, node bigint, n int, even int, bits array<bigint>")
+    return rows.mapInPandas(compute, f"doc_id {kind}, tie bigint, node bigint, n int, even int, bits array<bigint>, fp bigint")
 
 
 def prefix_size(n: Column | np.ndarray):
@@ -132,18 +139,57 @@ def prefixes(found: DataFrame, facts: DataFrame) -> DataFrame:
     return placed.select("x.key", "node", "n", F.col("x.place").alias("place"), "head", "bits")
 
 
+def enough(common: Column) -> Column:
+    """Whether so many common elements make a link of the nodes with n_a and n_b."""
+    top, below = SHARE
+    return common * (top + below) >= (F.col("n_a") + F.col("n_b")) * top
+
+
+def anchored(facts: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b): pairs that SimHash proposes, not yet compared. Nodes of one fingerprint are paired with its least node,
+    which also stands for it where ``simhash.links`` finds fingerprints within its radius at an anchor.
+
+    ``facts``: node, n, bits, fp; one row per node.
+    """
+    least = written(facts.groupBy("fp").agg(F.min("node").alias("a")), "near-fingerprints")
+    equal = facts.select("fp", F.col("node").alias("b")).join(least, "fp").where("a <> b").select("a", "b")
+    first, second = (least.select(F.col("fp").alias(fp), F.col("a").alias(node)) for fp, node in (("a", "x"), ("b", "y")))
+    close = simhash.links(least.select("fp")).join(first, "a").join(second, "b")
+    pairs = equal.unionAll(close.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    for side in "ab":
+        pairs = pairs.join(facts.select(*[F.col(c).alias(to) for c, to in (("node", side), ("n", f"n_{side}"), ("bits", f"bits_{side}"))]), side)
+    return pairs.where(enough(F.least("n_a", "n_b")) & _room()).select("a", "b", "n_a", "n_b")
+
+
+def _room() -> Column:
+    """Whether the signatures leave room for enough common elements."""
+    return enough(F.least(*[F.col(f"n_{x}") - _only(f"bits_{x}", f"bits_{y}") for x, y in ("ab", "ba")]))
+
+
+def _same(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links among ``pairs``, decided by whole sets, as a table. A pair without a set shares no prefix element: no link."""
+    whole_a, whole_b = sets.select(F.col("node").alias("a"), F.col("hashes").alias("h_a")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("h_b"))
+    both = pairs.join(whole_b, "b").join(whole_a, "a").withColumn("common", F.size(F.array_intersect("h_a", "h_b")))
+    return written(both.where(enough(F.col("common"))).select("a", "b"), "near-links")
+
+
 def links(docs: DataFrame, rows: DataFrame, pivots: int = PIVOTS, shingle: int = SHINGLE) -> DataFrame:
     """(node, root) for every node that a link connects with another.
 
     ``rows``: the ``nodes`` of ``docs``.
     """
-    facts = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("even").alias("even"), F.first("bits").alias("bits"))
+    facts = rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("even").alias("even"), F.first("bits").alias("bits"), F.first("fp").alias("fp"))
+    facts = written(facts, "near-facts")
     keys = written(prefixes(elements(docs, shingle), facts).withColumn("root", F.col("node")), "near-keys")
     keys = _shared(keys, "node")
     sets = written(_whole_sets(docs, rows, keys, shingle), "near-sets")
-    top, below = SHARE
-    enough = lambda common: common * (top + below) >= (F.col("n_a") + F.col("n_b")) * top
-    found = checked = labels = None
+    # What meets at the anchors first; the rounds below need not compare it again.
+    checked = written(anchored(facts), "near-anchored")
+    found = _same(checked, sets)
+    checked, labels = checked.select("a", "b"), components(found)
+    left = _rooted(keys, labels)
+    forget(keys)
+    keys = left
     while not keys.isEmpty():
         turn = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         first = written(keys.withColumn("turn", turn).where(F.col("turn") <= pivots).drop("turn"), "near-pivots")
@@ -151,33 +197,30 @@ def links(docs: DataFrame, rows: DataFrame, pivots: int = PIVOTS, shingle: int =
         pairs = b.join(a, "key").where("a < b and root_a <> root_b")
         # The element itself, and what follows it in the shorter rest.
         pairs = pairs.where(enough(F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))))
-        pairs = pairs.where(enough(F.least(*[F.col(f"n_{x}") - _only(f"bits_{x}", f"bits_{y}") for x, y in ("ab", "ba")])))
+        pairs = pairs.where(_room())
         met = F.array_intersect("head_a", "head_b")
         pairs = pairs.where((F.size(met) == 0) | (F.element_at(met, 1) == F.col("key"))).select("a", "b", "n_a", "n_b").distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = written(pairs, "near-pairs")
-        checked = pairs.select("a", "b") if checked is None else checked.unionAll(pairs.select("a", "b"))
-        whole_a, whole_b = sets.select(F.col("node").alias("a"), F.col("hashes").alias("h_a")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("h_b"))
-        both = pairs.join(whole_a, "a").join(whole_b, "b").withColumn("common", F.size(F.array_intersect("h_a", "h_b")))
-        same = written(both.where(enough(F.col("common"))).select("a", "b"), "near-links")
-        found = same if found is None else found.unionAll(same)
+        pairs = written(pairs.join(checked, ["a", "b"], "left_anti"), "near-pairs")
+        checked = checked.unionAll(pairs.select("a", "b"))
+        found = found.unionAll(_same(pairs, sets))
         before, labels = labels, components(found)
         # What is left of each element: nodes behind its pivots, unless one component holds them all.
         last = first.groupBy("key").agg(F.max("node").alias("last"))
         rest = keys.join(last, "key").where("node > last").drop("last")
-        rest = rest.drop("root").join(labels, "node", "left")
-        rest = written(rest.withColumn("root", F.coalesce("root", "node")), "near-rest")
-        left = _shared(rest, "root")
-        forget(keys, first, *[x for x in (before,) if x is not None])
+        left = _rooted(rest, labels)
+        forget(keys, first, before)
         keys = left
         pivots *= 4
-    forget(sets)
-    if labels is None:
-        return rows.select("node", F.col("node").alias("root")).limit(0)
+    forget(sets, facts)
     return labels
 
 
+def _rooted(keys: DataFrame, labels: DataFrame) -> DataFrame:
+    """The keys with the roots of ``labels``, as far as one component does not hold all nodes of a key."""
+    rooted = keys.drop("root").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return _shared(written(rooted, "near-rest"), "root")
+
+
 def _only(bits: str, others: str) -> Column:
     """Bits of one signature that the other lacks."""
     missing = F.zip_with(bits, others, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))

@@ -58,7 +58,11 @@ def shingle_hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """Majority bits of the XXH64 of all word shingles of a text, unsigned."""
-    hashes = shingle_hashes(text, shingle)
+    return majority(shingle_hashes(text, shingle))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half of the unsigned hashes have; of none, zero."""
     n = len(hashes)
     if not n:
         return 0
